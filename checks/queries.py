@@ -267,7 +267,11 @@ def sink_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_table(spark, path, customer.schema)
 
 
-@checked(f"SELECT month(FL_DATE) AS month, day(FL_DATE) AS day, {MEASURES_SQL} FROM flights GROUP BY 1, 2", "flights")
+@checked(
+    f"""SELECT CAST(month(FL_DATE) AS INTEGER) AS month, CAST(day(FL_DATE) AS INTEGER) AS day, {MEASURES_SQL}
+    FROM flights GROUP BY 1, 2""",
+    "flights",
+)
 def sink_parquet_single(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A result of at most one row per day of the year, as one file."""
     path = scratch_path(spark, "daily")

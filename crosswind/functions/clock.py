@@ -6,31 +6,38 @@ nothing here then depends on the session's zone.
 
 from __future__ import annotations
 
+from functools import cache
 from zoneinfo import available_timezones
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 UNKNOWN_ZONE = "Unknown"
+# Zones given as a plain offset from UTC.
+OFFSET = "^[+-](0[0-9]|1[0-7]):[0-5][0-9]$"
 
 
-def known_zone(zone: Column) -> Column:
-    """The zone, or null for the placeholder and for names that are no zone.
+def known_zone(zone: str) -> Column:
+    """The zone in a column, or null for the placeholder and names that are no zone.
 
     A name Spark does not know would fail the whole job at the first row that
     carries it. Zone names are case-sensitive, so membership in the zone
     database is tested as well as parsing. Meant for the airport dimension.
     """
     parsed = F.try_to_timestamp(
-        F.concat(F.lit("2000-01-01 00:00:00 "), zone), F.lit("yyyy-MM-dd HH:mm:ss VV")
+        F.concat(F.lit("2000-01-01 00:00:00 "), F.col(zone)), F.lit("yyyy-MM-dd HH:mm:ss VV")
     )
     return F.when(parsed.isNotNull(), listed_zone(zone))
 
 
-def listed_zone(zone: Column) -> Column:
+def listed_zone(zone: str) -> Column:
     """Cheaper form for fact rows: a set lookup, without the parse."""
-    is_offset = zone.rlike(r"^[+-](0\d|1[0-7]):[0-5]\d$")
-    return F.when(zone.isin(sorted(available_timezones())) | is_offset, zone)
+    return F.expr(f"CASE WHEN `{zone}` IN ({_zone_list()}) OR `{zone}` RLIKE '{OFFSET}' THEN `{zone}` END")
+
+
+@cache
+def _zone_list() -> str:
+    return ", ".join(f"'{name}'" for name in sorted(available_timezones()))
 
 
 def clock_hour(hhmm: Column, *, roll_midnight: bool = False) -> Column:

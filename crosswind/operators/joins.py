@@ -68,7 +68,8 @@ def heavy_keys(facts: DataFrame, key_sets: list[list[str]]) -> DataFrame:
     cut into ceil(n * P / total) pieces. Keys with one piece are left out, so
     at most P keys remain whatever the data, and their pieces number at most 2P:
     the list is small by counting, and so are the copies it causes. Several key
-    sets that meet the same lookup table are counted together in one pass.
+    sets that meet the same lookup table are counted together in one pass, each
+    adding as much to the bounds.
     """
     partitions = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     names = [f"key_{i}" for i in range(len(key_sets[0]))]
@@ -82,7 +83,7 @@ def heavy_keys(facts: DataFrame, key_sets: list[list[str]]) -> DataFrame:
         keys = facts.select(F.inline(F.array(*roles)))
     counts = keys.dropna("any").groupBy(*names).agg(F.count(F.lit(1)).alias("n"))
     total = counts.agg(F.sum("n").alias("total")).scalar()
-    pieces = F.ceil(F.col("n") * partitions / total).cast("int")
+    pieces = F.ceil(F.col("n") * (partitions * len(roles)) / total).cast("int")
     return counts.select(*names, pieces.alias("pieces")).where("pieces > 1")
 
 

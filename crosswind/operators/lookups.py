@@ -50,7 +50,7 @@ def lookup_carrier(
 
 def clean_airports(airports: DataFrame, zone: str = "time_zone") -> DataFrame:
     """Airports whose zone is a real one or null."""
-    return airports.withColumn(zone, known_zone(F.col(zone)))
+    return airports.withColumn(zone, known_zone(zone))
 
 
 def lookup_airport(
