@@ -38,15 +38,16 @@ def lookup_join(
     how: str = "left",
     *,
     limit: int = BROADCAST_BYTES,
+    small: bool | None = None,
 ) -> DataFrame:
     """Facts with the lookup's other columns; ``on`` maps fact to lookup columns.
 
     ``how`` is ``left``, ``inner``, ``left_semi`` or ``left_anti``. Null keys match
-    nothing.
+    nothing. ``small`` gives the outcome of a measurement already made.
     """
     if how in ("left_semi", "left_anti"):
         lookup = lookup.select(*on.values()).distinct()
-    if fits_broadcast(lookup, limit):
+    if fits_broadcast(lookup, limit) if small is None else small:
         return keyed_join(facts, F.broadcast(lookup), on, how)
     return spread_join(facts, lookup, on, how)
 

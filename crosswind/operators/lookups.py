@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crosswind.functions.clock import known_zone
-from crosswind.operators.joins import BROADCAST_BYTES, lookup_join
+from crosswind.operators.joins import BROADCAST_BYTES, fits_broadcast, lookup_join
 from crosswind.schemas import AIRPORT_FEATURES
 
 
@@ -63,9 +63,11 @@ def lookup_airport(
     limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Flights with each airport feature for both ends, null for unknown codes."""
+    airports = airports.select(code, *features)
+    small = fits_broadcast(airports, limit)
     for side in sides:
         named = [F.col(source).alias(f"{target}_{side}") for source, target in features.items()]
-        flights = lookup_join(flights, airports.select(code, *named), {side: code}, limit=limit)
+        flights = lookup_join(flights, airports.select(code, *named), {side: code}, small=small)
     return flights
 
 

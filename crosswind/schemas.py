@@ -67,6 +67,16 @@ AIRPORTS = columns("""
     name string, latitude double, longitude double
 """)
 
+STATIONS = columns("icao string, station string")
+# Hourly values by station, from which the weather of each airport is taken.
+HOURLY = columns("""
+    time timestamp_ntz, station string, temp double, prcp double, rhum double, wspd double, coco integer
+""")
+# Places that stand in for missing city, state and country names.
+PLACES = columns("""
+    city string, state string, country string, town string, latitude double, longitude double
+""")
+
 # Measures of a weather role in the joined table, in output order.
 WEATHER_ROLE = [
     "temperature_deg_c",
