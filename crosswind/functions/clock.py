@@ -6,9 +6,10 @@ nothing here then depends on the session's zone.
 
 from __future__ import annotations
 
+import re
 from functools import cache
-from zoneinfo import available_timezones
 
+from pyspark import SparkContext
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,23 +22,17 @@ def known_zone(zone: str) -> Column:
     """The zone in a column, or null for the placeholder and names that are no zone.
 
     A name Spark does not know would fail the whole job at the first row that
-    carries it. Zone names are case-sensitive, so membership in the zone
-    database is tested as well as parsing. Meant for the airport dimension.
+    carries it. The test is one set lookup per row, case-sensitive as zones are.
     """
-    parsed = F.try_to_timestamp(
-        F.concat(F.lit("2000-01-01 00:00:00 "), F.col(zone)), F.lit("yyyy-MM-dd HH:mm:ss VV")
-    )
-    return F.when(parsed.isNotNull(), listed_zone(zone))
-
-
-def listed_zone(zone: str) -> Column:
-    """Cheaper form for fact rows: a set lookup, without the parse."""
     return F.expr(f"CASE WHEN `{zone}` IN ({_zone_list()}) OR `{zone}` RLIKE '{OFFSET}' THEN `{zone}` END")
 
 
 @cache
 def _zone_list() -> str:
-    return ", ".join(f"'{name}'" for name in sorted(available_timezones()))
+    """Region and short names the running Java knows, as SQL literals."""
+    zones = SparkContext.getOrCreate()._jvm.java.time.ZoneId
+    listed = f"{zones.getAvailableZoneIds().toString()}{zones.SHORT_IDS.keySet().toString()}"
+    return ", ".join(f"'{name}'" for name in sorted(set(re.findall(r"[^][, ]+", listed))))
 
 
 def clock_hour(hhmm: Column, *, roll_midnight: bool = False) -> Column:

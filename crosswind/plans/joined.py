@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from crosswind.functions.clock import (
     arrival_utc,
     departure_local,
-    listed_zone,
+    known_zone,
     to_local,
     to_utc,
 )
@@ -46,11 +46,11 @@ def add_times(flights: DataFrame, *, roll_midnight: bool = False) -> DataFrame:
             departure_local(F.col("FL_DATE"), F.col("DEP_TIME"), roll_midnight=roll_midnight),
         )
         .withColumn(
-            "DEP_TIME_UTC", to_utc(F.col("DEP_TIME_LOCAL"), listed_zone("TIME_ZONE_ORIGIN"))
+            "DEP_TIME_UTC", to_utc(F.col("DEP_TIME_LOCAL"), known_zone("TIME_ZONE_ORIGIN"))
         )
         .withColumn("ARR_TIME_UTC", arrival_utc(F.col("DEP_TIME_UTC"), F.col("ACTUAL_ELAPSED_TIME")))
         .withColumn(
-            "ARR_TIME_LOCAL", to_local(F.col("ARR_TIME_UTC"), listed_zone("TIME_ZONE_DEST"))
+            "ARR_TIME_LOCAL", to_local(F.col("ARR_TIME_UTC"), known_zone("TIME_ZONE_DEST"))
         )
     )
 

@@ -15,15 +15,20 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.csv(path, header=True, mode="overwrite", escape='"')
 
 
-def write_parquet(df: DataFrame, path: str, *, files: int | None = None) -> None:
-    """Parquet, one file per task, or exactly ``files`` files.
-
-    A set number costs a shuffle but leaves the work before it in parallel.
-    One single file is meant for small results only.
+def write_parquet(
+    df: DataFrame, path: str, *, files: int | None = None, partition_by: tuple[str, ...] = ()
+) -> None:
+    """Parquet, one file per task, or exactly ``files`` files, or folders by value.
+
+    A set number costs a shuffle but leaves the work before it in parallel; one
+    single file is meant for small results only. Rows of a folder are brought
+    together first, in pieces of even size however large the folder gets.
     """
     if files:
         df = df.repartition(files)
-    df.write.mode("overwrite").parquet(path)
+    elif partition_by:
+        df = df.hint("rebalance", *map(F.col, partition_by))
+    df.write.partitionBy(*partition_by).mode("overwrite").parquet(path)
 
 
 def write_counted(df: DataFrame, path: str) -> int:

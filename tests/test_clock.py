@@ -58,13 +58,13 @@ def test_midnight_may_roll_over(spark):
 
 
 def test_only_real_zones_are_kept(spark):
-    zones = [NEW_YORK, "US/Eastern", "UTC", "+05:30", "Unknown", "Mars/Base", "america/denver", "", None]
+    zones = [NEW_YORK, "US/Eastern", "UTC", "EST", "+05:30", "Unknown", "Mars/Base", "america/denver", "", None]
     df = spark.createDataFrame([(z,) for z in zones], "z string")
     kept = [r[0] for r in df.select(clock.known_zone("z")).collect()]
-    assert kept == zones[:4] + [None] * 5
+    assert kept == zones[:5] + [None] * 5
     hour = F.lit("2018-06-01 12:00:00").cast("timestamp_ntz")
     known = df.withColumn("z", clock.known_zone("z"))
-    assert known.select(clock.to_utc(hour, F.col("z")).alias("u")).where("u IS NOT NULL").count() == 4
+    assert known.select(clock.to_utc(hour, F.col("z")).alias("u")).where("u IS NOT NULL").count() == 5
 
 
 def test_elapsed_hours_round_half_up(spark):
@@ -72,3 +72,12 @@ def test_elapsed_hours_round_half_up(spark):
     start = F.lit("2018-01-01 00:00:00").cast("timestamp_ntz")
     got = df.select(F.hour(clock.arrival_utc(start, F.col("m"))).alias("h")).collect()
     assert [r.h for r in got] == [0, 1, 1, 2, 2, 3]
+
+
+def test_every_listed_zone_converts(spark):
+    names = clock._zone_list()
+    df = spark.sql(f"SELECT explode(array({names})) AS z")
+    hour = F.lit("2018-06-01 12:00:00").cast("timestamp_ntz")
+    known = df.select("z", clock.to_utc(hour, clock.known_zone("z")).alias("u"))
+    assert known.where("u IS NULL").count() == 0
+    assert known.count() > 500

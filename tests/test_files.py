@@ -122,6 +122,8 @@ def test_parquet_in_one_file_and_counted(spark, tmp_path):
     assert len(list((tmp_path / "one").glob("part-*"))) == 1
     files.write_parquet(df, str(tmp_path / "many"))
     assert len(list((tmp_path / "many").glob("part-*"))) == 4
+    files.write_parquet(df.withColumn("k", F.col("id") % 2), str(tmp_path / "by"), partition_by=("k",))
+    assert len(list((tmp_path / "by").glob("k=*/part-*"))) == 2
     assert files.write_counted(df, str(tmp_path / "counted")) == 1000
     assert spark.read.parquet(str(tmp_path / "counted")).count() == 1000
 
