@@ -43,7 +43,7 @@ def publish(
     out: str,
     places: str | None = None,
     start_year: int = 2018,
-    table: str = "flightwx",
+    table: str = "flights_with_weather",
 ) -> int:
     """Run the flow and return the number of joined rows.
 

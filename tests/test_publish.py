@@ -54,7 +54,7 @@ def arguments(root: Path, out: Path) -> dict[str, str]:
 
 def test_flow(spark, inputs, tmp_path):
     assert publish(spark, **arguments(inputs, tmp_path)) == 3
-    rows = {r.OP_CARRIER_FL_NUM: r for r in spark.table("flightwx").collect()}
+    rows = {r.OP_CARRIER_FL_NUM: r for r in spark.table("flights_with_weather").collect()}
     assert set(rows) == {1, 2, 3}
     assert rows[1].DEP_TIME_UTC == datetime.datetime(2018, 1, 1, 14)
     assert (rows[1].OP_CARRIER_NAME, rows[1].CITY_DEST, rows[1].COUNTRY_DEST) == ("AMERICAN", "Chicago", "US")
@@ -74,7 +74,7 @@ def test_flow(spark, inputs, tmp_path):
 
     # A second run takes the earlier results and gives the same.
     assert publish(spark, **arguments(inputs, tmp_path)) == 3
-    assert spark.table("flightwx").count() == 3
+    assert spark.table("flights_with_weather").count() == 3
 
 
 def test_command_line_names_its_arguments():
