@@ -184,17 +184,11 @@ def scan_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.scan_weather(spark, path)
 
 
-def write_years(orders: DataFrame, directory: str) -> None:
-    """Orders in one folder per year, named like a yearly file."""
-    by_year = orders.withColumn("stem", F.year("o_orderdate"))
-    for (year,) in by_year.select("stem").distinct().collect():
-        files.write_csv(by_year.where(F.col("stem") == year).drop("stem"), f"{directory}/{year}.csv")
-
-
 @checked(ORDERS_SQL + " WHERE year(o_orderdate) >= 1998")
 def scan_years(spark: SparkSession, sf_dir: str) -> DataFrame:
     directory = scratch_path(spark, "years")
-    write_years(table(spark, sf_dir, "orders"), directory)
+    orders = table(spark, sf_dir, "orders").withColumn("year", F.year("o_orderdate"))
+    files.write_csv(orders, directory, partition_by=("year",))
     return readers.scan_years(spark, directory, 1998, ORDERS)
 
 

@@ -1,4 +1,4 @@
-"""Text of HTML fragments and of file names."""
+"""Text of HTML fragments."""
 
 from __future__ import annotations
 
@@ -23,8 +23,3 @@ def visible_text(html: Column) -> Column:
     text = F.regexp_replace(html, r"(?s)<!--.*?-->|<[^>]*>", "")
     text = reduce(lambda c, pair: F.replace(c, F.lit(pair[0]), F.lit(pair[1])), ENTITIES.items(), text)
     return F.regexp_replace(text, r"^[\s\u00a0]+|[\s\u00a0]+$", "")
-
-
-def stem_year(name: Column) -> Column:
-    """Year in a file name: the part before the first dot, as a number."""
-    return F.split_part(name, F.lit("."), F.lit(1)).try_cast("int")

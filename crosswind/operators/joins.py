@@ -88,15 +88,18 @@ def heavy_keys(facts: DataFrame, key_sets: list[list[str]]) -> DataFrame:
     return counts.select(*names, pieces.alias("pieces")).where("pieces > 1")
 
 
-def spread_facts(facts: DataFrame, keys: list[str], heavy: DataFrame) -> DataFrame:
+def spread_facts(
+    facts: DataFrame, keys: list[str], heavy: DataFrame, by: list[str] | None = None
+) -> DataFrame:
     """Facts with ``_piece``: the piece of its key a row goes to.
 
-    The piece follows from the row's own values, so a task that runs again
-    after a lost executor sends its rows to the same place. Rows with a null
-    key match nothing and are spread over all partitions.
+    The piece follows from the row's own values in the columns ``by``, else in
+    all columns, so a task that runs again after a lost executor sends its rows
+    to the same place. Rows with a null key match nothing and are spread over
+    all partitions.
     """
     partitions = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    row_hash = F.xxhash64(*facts.columns)
+    row_hash = F.xxhash64(*(by or facts.columns))
     names = {f"key_{i}": f"_heavy_{i}" for i in range(len(keys))}
     small = F.broadcast(heavy.withColumnsRenamed(names | {"pieces": "_pieces"}))
     condition = reduce(

@@ -30,6 +30,9 @@ ROLES = {
     "DEST": ["ARR_TIME_UTC", "DEST"],
 }
 
+# Columns that tell flights apart; only these are read to spread a heavy hour.
+FLIGHT_IDENTITY = ["FL_DATE", "OP_CARRIER", "OP_CARRIER_FL_NUM", "ORIGIN", "DEST", "CRS_DEP_TIME"]
+
 
 def project_flights(flights: DataFrame) -> DataFrame:
     """The 29 columns the join needs."""
@@ -91,9 +94,10 @@ def join_weather(
         return flights
     heavy = heavy_keys(flights, [ROLES[role] for role in roles])
     copied = copy_lookup(weather, ["time", "airport"], heavy)
+    identity = [name for name in FLIGHT_IDENTITY if name in flights.columns]
     for role in roles:
         on = dict(zip([*ROLES[role], "_piece"], ["time", "airport", "_piece"]))
-        spread = spread_facts(flights, ROLES[role], heavy)
+        spread = spread_facts(flights, ROLES[role], heavy, identity)
         flights = keyed_join(spread, weather_role(copied, role), on, "left").drop("_piece")
     return flights
 

@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from crosswind.session import path_exists
 
 
-def write_csv(df: DataFrame, path: str) -> None:
+def write_csv(df: DataFrame, path: str, *, partition_by: tuple[str, ...] = ()) -> None:
     """CSV with header, quotes doubled as the readers expect."""
-    df.write.csv(path, header=True, mode="overwrite", escape='"')
+    writer = _gathered(df, partition_by).write.partitionBy(*partition_by)
+    writer.csv(path, header=True, mode="overwrite", escape='"')
 
 
 def write_parquet(
@@ -21,16 +22,17 @@ def write_parquet(
     """Parquet, one file per task, or exactly ``files`` files, or folders by value.
 
     A set number costs a shuffle but leaves the work before it in parallel; one
-    single file is meant for small results only. Rows of a folder are brought
-    together first, in pieces of even size however large the folder gets.
+    single file is meant for small results only.
     """
-    if files:
-        df = df.repartition(files)
-    elif partition_by:
-        df = df.hint("rebalance", *map(F.col, partition_by))
+    df = df.repartition(files) if files else _gathered(df, partition_by)
     df.write.partitionBy(*partition_by).mode("overwrite").parquet(path)
 
 
+def _gathered(df: DataFrame, folders: tuple[str, ...]) -> DataFrame:
+    """Rows of a folder brought together, in even pieces however large it gets."""
+    return df.hint("rebalance", *map(F.col, folders)) if folders else df
+
+
 def write_counted(df: DataFrame, path: str) -> int:
     """Parquet, and the number of rows written, from the same run."""
     seen = Observation()

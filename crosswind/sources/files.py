@@ -82,10 +82,10 @@ def scan_airports(spark: SparkSession, path: str) -> DataFrame:
 
 
 def year_paths(spark: SparkSession, directory: str, start_year: int) -> list[str]:
-    """Files or folders named ``<year>.<anything>`` with year >= start_year."""
+    """Files or folders named ``<year>.<anything>`` or ``year=<year>`` from a year on."""
     kept = []
     for path in children(spark, directory):
-        stem = path.rstrip("/").rsplit("/", 1)[-1].split(".")[0]
+        stem = path.rstrip("/").rsplit("/", 1)[-1].split(".")[0].removeprefix("year=")
         if stem.isdecimal() and int(stem) >= start_year:
             kept.append(path)
     return kept

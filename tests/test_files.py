@@ -59,6 +59,8 @@ def test_years_from_the_first_wanted_one(spark, tmp_path):
     write(tmp_path / "2017.csv", "broken")
     write(tmp_path / "2018.csv", "FL_DATE,ORIGIN,DEP_TIME", "2018-05-01,JFK,905.0")
     write(tmp_path / "2019.csv", "ORIGIN,FL_DATE,DEP_TIME,EXTRA", "ATL,2019-05-01,,1")
+    (tmp_path / "year=2020").mkdir()
+    write(tmp_path / "year=2020" / "part-0.csv", "DEP_TIME,FL_DATE", "5,2020-05-01")
     write(tmp_path / "notes.csv", "ORIGIN", "BAD")
     write(tmp_path / "_hidden.csv", "ORIGIN", "BAD")
     schema = schemas.columns("FL_DATE date, ORIGIN string, DEP_TIME double")
@@ -66,9 +68,10 @@ def test_years_from_the_first_wanted_one(spark, tmp_path):
     assert [tuple(r) for r in rows] == [
         (datetime.date(2018, 5, 1), "JFK", 905.0),
         (datetime.date(2019, 5, 1), "ATL", None),
+        (datetime.date(2020, 5, 1), None, 5.0),
     ]
     with pytest.raises(ValueError):
-        readers.scan_years(spark, str(tmp_path), 2020, schema)
+        readers.scan_years(spark, str(tmp_path), 2021, schema)
 
 
 def test_scan_reads_only_wanted_columns(spark, tmp_path):
