@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crosswind.functions.clock import known_zone
-from crosswind.operators.joins import BROADCAST_BYTES, fits_broadcast, lookup_join
+from crosswind.operators.joins import BROADCAST_BYTES, fits_broadcast, keyed_join, lookup_join
 from crosswind.schemas import AIRPORT_FEATURES
 
 
@@ -98,12 +98,14 @@ def unmatched_airports(
     obtained: DataFrame,
     column: str = "airport",
     obtained_column: str = "airport",
-    *,
-    limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Wanted airports of which nothing was obtained."""
-    keys = wanted.select(column).distinct()
-    return lookup_join(keys, obtained, {column: obtained_column}, "left_anti", limit=limit)
+    """Wanted airports of which nothing was obtained.
+
+    Both sides are brought down to single keys first, so no key is heavy and
+    the join needs no shuffle beyond the ones that did this.
+    """
+    keys, found = wanted.select(column).distinct(), obtained.select(obtained_column).distinct()
+    return keyed_join(keys, found, {column: obtained_column}, "left_anti")
 
 
 def backfill_missing(

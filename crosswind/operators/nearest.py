@@ -50,11 +50,11 @@ def nearest_place(
         places.groupBy(F.col(latitude).alias("lat"), F.col(longitude).alias("lon")).agg(values),
         chord,
     ).drop("lat", "lon")
+    # The places are counted, measured and joined, so they are brought together once.
+    sites = settle(sites, "sites")
     depth = _depth(sites, crowd)
 
     near = _around(spots)
-    if depth:
-        sites = settle(sites, "sites")
     for level in range(depth):
         near = settle(_descend(near, sites, level, chord, limit), "near")
     cells = _cell_names(depth)
@@ -77,6 +77,8 @@ def nearest_place(
         .agg(F.min(F.struct("gap", "place")).alias("best"))
         .select("lat", "lon", "best.place.*", km_of_chord(F.col("best.gap")).alias("distance_km"))
     )
+    # Measuring the result for the last join must not compute it twice.
+    found = settle(found, "found")
     keyed = points.select(key, F.col(latitude).alias("_lat"), F.col(longitude).alias("_lon"))
     joined = lookup_join(keyed, found, {"_lat": "lat", "_lon": "lon"}, limit=limit)
     return joined.drop("_lat", "_lon")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from crosswind.functions.calendar import calendar_columns
 from crosswind.operators.aggregates import grouped_measures, label_totals, null_ratio
-from crosswind.operators.joins import BROADCAST_BYTES, lookup_join
+from crosswind.operators.joins import keyed_join
 
 CARRIER = ["op_carrier", "op_carrier_name"]
 ORIGIN = ["origin", "airport_name_origin", "longitude_origin", "latitude_origin"]
@@ -76,17 +76,17 @@ def airport_profile(
     freight: str = "FREIGHT_TONS",
     max_null_ratio: float | None = None,
     min_passengers: float | None = None,
-    limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Per airport: share of flights without weather, and traffic totals.
 
-    The thresholds that make a whitelist of it are the caller's.
+    The thresholds that make a whitelist of it are the caller's. Both sides are
+    aggregated by airport, so they meet where they are.
     """
     ratios = null_ratio(joined, airport, condition, "WEATHER_NULL_RATIO")
     totals = traffic.groupBy(traffic_airport).agg(
         F.sum(passengers).alias("PASSENGERS"), F.sum(freight).alias("FREIGHT_TONS")
     )
-    profile = lookup_join(ratios, totals, {airport: traffic_airport}, limit=limit)
+    profile = keyed_join(ratios, totals, {airport: traffic_airport}, "left")
     if max_null_ratio is not None:
         profile = profile.filter(F.col("WEATHER_NULL_RATIO") <= max_null_ratio)
     if min_passengers is not None:

@@ -11,6 +11,7 @@ from crosswind.operators.joins import BROADCAST_BYTES, lookup_join
 from crosswind.operators.lookups import lookup_station
 from crosswind.operators.unions import distinct_keys
 from crosswind.schemas import WEATHER, WEATHER_NAMES
+from crosswind.session import settle
 
 
 def collect_weather(
@@ -25,9 +26,11 @@ def collect_weather(
     """Hours of each origin's station from the first flight to three days past the last.
 
     One keyed join for all airports. Stations serving several airports yield
-    their hours once for each.
+    their hours once for each. The origins take a pass over all flights and are
+    needed more than once, so they are written down.
     """
-    wanted = distinct_keys(flights, "ORIGIN").withColumnRenamed("ORIGIN", "airport")
+    origins = distinct_keys(flights, "ORIGIN").withColumnRenamed("ORIGIN", "airport")
+    wanted = settle(origins, "origins")
     served = lookup_station(wanted, airports, stations, station=station, limit=limit)
     by_station = served.dropna(subset=[station]).select(station, "airport")
     hours = filter_hour_range(hourly, date_bounds(flights))
