@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from crosswind.llm import packing, records
-from crosswind.session import scratch_path
+from crosswind.llm import mixing, packing, records, sharding
+from crosswind.session import scratch_path, settle
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +17,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op5_systematic_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sized = settle(mixing.measured(table(spark, sf_dir, "documents")), "sizes")
+    taken = (F.col("size") * F.col("copies")).alias("taken")
+    return mixing.mix_plan(sized).select("doc_id", "size", "source_size", "target", taken)
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack_documents(table(spark, sf_dir, "documents"))
     return packed.select(
@@ -31,6 +38,19 @@ def op9_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op10_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shard_documents(table(spark, sf_dir, "documents"), 40)
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     name: function for name, function in list(globals().items()) if name.startswith("op")
 }
