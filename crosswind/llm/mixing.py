@@ -111,8 +111,7 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     same = Window.partitionBy("_row").orderBy(F.lit(0))
     plan = mix_plan(settle(measured(docs), "sizes"), **options).where("copies > 0")
     plan = plan.select(F.col("row").alias("_row"), "copies").withColumn("_n", F.row_number().over(same))
-    rows = docs.withColumn("_row", row_key("doc_id", "source", "text"))
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc")
+    rows = docs.select(whole, row_key("doc_id", "source", "text").alias("_row"))
     taken = rows.withColumn("_n", F.row_number().over(same)).join(plan, ["_row", "_n"])
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(
-        *[F.col(f"`{c}`") for c in docs.columns]
-    )
+    return taken.select("_doc", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("_doc.*")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crosswind.llm import mixing, packing, records, sharding
+from crosswind.llm import mixing, packing, quality, records, sharding
 from crosswind.session import scratch_path, settle
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_adaptive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return quality.judged(table(spark, sf_dir, "documents")).select(
+        "_doc.doc_id",
+        *[f"_m.{name}" for name in counts],
+        F.col("_base_failed").alias("base_failed"),
+        F.col("_kept").alias("kept"),
+    )
+
+
 def op5_systematic_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     sized = settle(mixing.measured(table(spark, sf_dir, "documents")), "sizes")
     taken = (F.col("size") * F.col("copies")).alias("taken")
