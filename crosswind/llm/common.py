@@ -45,9 +45,13 @@ def text_bytes(column: pa.Array) -> list[bytes]:
 
 
 def row_key(*columns: str) -> Column:
-    """A text that two rows share only if they agree in all the columns."""
-    parts = [F.coalesce(F.base64(F.col(c).cast("string").cast("binary")), F.lit("-")) for c in columns]
-    return F.sha2(F.concat_ws(",", *parts), 256)
+    """A text that two rows share only if they agree in all the columns, nulls included."""
+    parts = []
+    for name in columns:
+        value = F.col(name).cast("string")
+        size = F.octet_length(value).cast("string")
+        parts.append(F.when(value.isNull(), F.lit("-")).otherwise(F.concat(size, F.lit(":"), value)))
+    return F.sha2(F.concat(*parts), 256)
 
 
 def lookup(df: DataFrame, table: DataFrame, on: list[str], *, rows: int) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crosswind.llm import mixing, packing, quality, records, sharding
+from crosswind.llm import mixing, packing, pii, quality, records, sharding
 from crosswind.session import scratch_path, settle
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_weak_supervision_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+    counts = [f"n_{kind}" for kind in pii.KINDS]
+    return found.select(F.col("id").alias("doc_id"), *counts, "base_sha256", "spans")
+
+
 def op4_adaptive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     return quality.judged(table(spark, sf_dir, "documents")).select(
