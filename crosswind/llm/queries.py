@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crosswind.llm import mixing, packing, pii, quality, records, sharding
+from crosswind.llm import mixing, packing, pii, quality, records, secrets, sharding
 from crosswind.session import scratch_path, settle
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +46,12 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_linked_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find(table(spark, sf_dir, "documents"))
+    counts = [f"n_{kind}" for kind in secrets.KINDS]
+    return found.select(F.col("id").alias("doc_id"), *counts, "base_sha256", "spans")
+
+
 def op9_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "records")
     records.write_records(table(spark, sf_dir, "documents"), path)
