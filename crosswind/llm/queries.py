@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crosswind.llm import dedup, mixing, packing, pii, quality, records, secrets, sharding
+from crosswind.llm import dedup, forest, mixing, packing, pii, quality, records, secrets, sharding
 from crosswind.session import scratch_path, settle
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,11 @@ def op5_systematic_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_plan(sized).select("doc_id", "size", "source_size", "target", taken)
 
 
+def op6_hash_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return forest.search(vectors, vectors.where("vec_id % 100 = 0"), 10)
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack_documents(table(spark, sf_dir, "documents"))
     return packed.select(
