@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crosswind.llm import dedup, forest, mixing, packing, pii, quality, records, secrets, sharding
+from crosswind.llm import dedup, forest, mixing, packing, pii, quality, records, secrets, sharding, wrappers
 from crosswind.session import scratch_path, settle
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,11 @@ def op1_weak_supervision_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), *counts, "base_sha256", "spans")
 
 
+def op2_wrapper_induction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = wrappers.main_texts(table(spark, sf_dir, "pages"))
+    return texts.select(F.col("id").alias("page_id"), "url", "text", "n_chars")
+
+
 def op3_weighted_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = dedup.classes(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), "class_id", "class_size")
