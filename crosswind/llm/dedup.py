@@ -178,7 +178,8 @@ def classes(
 ) -> DataFrame:
     """``id, digest, class_id, class_size, first`` of every row.
 
-    ``class_id`` is the smallest id in the class, ``class_size`` its rows. ``first`` marks one row of each
+    ``class_id`` is the smallest id in the class, or a negative number where
+    there is none or another class has it too; ``class_size`` is its rows. ``first`` marks one row of each
     class, or several that are equal in id and text.
     """
     spark = docs.sparkSession
@@ -214,12 +215,16 @@ def classes(
         "digest", "least_id", "copies", F.coalesce("root", "rid").alias("root")
     )
     named = rooted.groupBy("root").agg(
-        # A class without any id gets a negative one of its own.
-        F.coalesce(F.min("least_id"), -1 - F.col("root")).alias("class_id"),
+        F.coalesce(F.min("least_id"), -1 - F.col("root")).alias("name"),
         F.sum("copies").alias("class_size"),
         # Of several texts with the smallest id, one.
         F.min_by("digest", F.struct(F.coalesce("least_id", F.lit((1 << 63) - 1)), "digest")).alias("head"),
     )
+    # Where ids repeat, two classes may have the same smallest one.
+    same = Window.partitionBy("name").orderBy("head")
+    named = named.withColumn(
+        "class_id", F.when(F.row_number().over(same) == 1, F.col("name")).otherwise(-1 - F.col("root"))
+    )
     by_text = settle(
         rooted.join(named, "root").select("digest", "class_id", "class_size", (F.col("digest") == F.col("head")).alias("_head"), "least_id"),
         "classes",

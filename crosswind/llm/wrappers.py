@@ -37,6 +37,9 @@ MOST = 0.5
 # Share of a block's characters that may be links, and of a page's text that a content element holds.
 LINKS, HOLDS = 0.5, 0.8
 
+# Elements that only hold others.
+HOLDERS = {"html", "body", "main", "section", "div", "center", "table", "tbody", "tr", "td"}
+
 BLOCK = pa.struct([("slot", pa.int32()), ("article", pa.int32()), ("links", pa.int32()), ("text", pa.string())])
 PARSED = "id long, url string, host string, tree string, body string, blocks array<struct<slot int, article int, links int, text string>>"
 SLOTTED = "host string, slot string, text string, body string"
@@ -146,7 +149,7 @@ def content(row: dict) -> str:
         held[parents[slot]] += held[slot]
     main = next((s for s, tag in enumerate(tags) if tag == "main" and held[s]), 0)
     while True:
-        inner = next((c for c in children[main] if held[c] >= HOLDS * total and children[c]), None)
+        inner = next((c for c in children[main] if held[c] >= HOLDS * total and tags[c] in HOLDERS), None)
         if inner is None or not total:
             break
         main = inner
