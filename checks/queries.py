@@ -240,17 +240,15 @@ def html_rows_of_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @checked(
     f"""WITH {PAGE_ROWS_SQL}
     SELECT Code, Carrier FROM (
-        SELECT substring(text, 1, 2) AS Code, text AS Carrier,
-               row_number() OVER (PARTITION BY substring(text, 1, 2)
+        SELECT href AS Code, text AS Carrier,
+               row_number() OVER (PARTITION BY href
                                   ORDER BY page_id DESC, block_no DESC, row_no DESC) AS place
         FROM rows_found) WHERE place = 1 AND Code NOT IN ('VX', 'EV')
     UNION ALL SELECT 'VX', 'Virgin America' UNION ALL SELECT 'EV', 'ExpressJet Airlines'"""
 )
 def html_carriers(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = page_rows(spark, sf_dir)
-    return carriers_from_rows(
-        rows.withColumn("iata", F.substring("text", 1, 2)).withColumnRenamed("text", "name")
-    )
+    return carriers_from_rows(rows.withColumnsRenamed({"href": "iata", "text": "name"}))
 
 
 @checked("SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
@@ -867,11 +865,12 @@ def label_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
                     WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'signup' ELSE 'view' END AS ORIGIN,
                CAST(sum(o_custkey) AS BIGINT) AS PASSENGERS, CAST(sum(o_orderkey) AS BIGINT) AS FREIGHT_TONS
         FROM orders GROUP BY 1)
-    SELECT p.ORIGIN, round(p.ratio, 6) AS WEATHER_NULL_RATIO, t.PASSENGERS, t.FREIGHT_TONS
+    SELECT p.ORIGIN, a.name AS AIRPORT, round(p.ratio, 6) AS WEATHER_NULL_RATIO, t.PASSENGERS, t.FREIGHT_TONS
     FROM (SELECT ORIGIN, avg(CASE WHEN ORIGIN_WEATHER_CONDITION IS NULL THEN 1 ELSE 0 END) AS ratio
           FROM joined GROUP BY ORIGIN) AS p LEFT JOIN traffic AS t ON p.ORIGIN = t.ORIGIN
+          LEFT JOIN airports AS a ON p.ORIGIN = a.code
     WHERE p.ratio <= 0.9 AND t.PASSENGERS >= 1000""",
-    "flights weather",
+    "flights weather airports",
 )
 def airport_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     codes = {"1-URGENT": "click", "2-HIGH": "error", "3-MEDIUM": "purchase", "4-NOT SPECIFIED": "signup"}
@@ -884,7 +883,12 @@ def airport_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderkey").alias("FREIGHT_TONS"),
     )
     profile = measures.airport_profile(
-        joined_rows(spark, sf_dir), traffic, max_null_ratio=0.9, min_passengers=1000
+        timed_flights(spark, sf_dir),
+        view(spark, sf_dir, "weather"),
+        traffic,
+        view(spark, sf_dir, "airports"),
+        max_null_ratio=0.9,
+        min_passengers=1000,
     )
     return profile.withColumn("WEATHER_NULL_RATIO", F.round("WEATHER_NULL_RATIO", 6))
 
@@ -899,21 +903,22 @@ def airport_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 def union_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two spans of years, the earlier without the status column."""
     orders = table(spark, sf_dir, "orders")
-    early = orders.where(F.year("o_orderdate") < 1998).drop("o_orderstatus")
-    late = orders.where(F.year("o_orderdate") >= 1998).select(*reversed(orders.columns))
+    # A date bound reaches the scan, a year taken of the date does not.
+    turn = F.lit("1998-01-01").cast("timestamp_ntz")
+    early = orders.where(F.col("o_orderdate") < turn).drop("o_orderstatus")
+    late = orders.where(F.col("o_orderdate") >= turn).select(*reversed(orders.columns))
     return unions.union_files([early, late])
 
 
 @checked("SELECT event_id, ts, value, event_type AS airport FROM events")
 def union_tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events")
+    """One dataset per kind of event, read back in one scan."""
+    folder = scratch_path(spark, "events")
+    events = table(spark, sf_dir, "events").withColumn("kind", F.col("event_type"))
+    files.write_parquet(events, folder, partition_by=("kind",))
     kinds = ["click", "error", "purchase", "signup", "view"]
-    return unions.union_tagged(
-        {
-            kind: events.where(F.col("event_type") == kind).select("event_id", "ts", "value")
-            for kind in kinds
-        }
-    )
+    paths = {kind: f"{folder}/kind={kind}" for kind in kinds}
+    return unions.scan_tagged(spark, paths, columns=["event_id", "ts", "value"])
 
 
 @checked(

@@ -5,8 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# First month of each season; January and February belong to the last.
-SEASON_STARTS = {"Spring": 3, "Summer": 6, "Autumn": 9, "Winter": 12}
+# The months of each season.
+SEASONS = {
+    "Winter": [12, 1, 2],
+    "Spring": [3, 4, 5],
+    "Summer": [6, 7, 8],
+    "Autumn": [9, 10, 11],
+}
 # Saturday and Sunday, counted from Sunday = 0.
 WEEKEND_DAYS = [0, 6]
 
@@ -27,10 +32,8 @@ def is_weekday(ts: Column) -> Column:
 
 
 def season(month: Column) -> Column:
-    """Season of a month number, null for null."""
-    names = list(SEASON_STARTS)
-    # Months count from March, so every season is a run of three.
-    return F.get(F.array(*map(F.lit, names)), F.floor(F.pmod(month - 3, F.lit(12)) / 3).cast("int"))
+    """Season of a month number, null for null and for what is no month."""
+    return F.coalesce(*[F.when(month.isin(months), name) for name, months in SEASONS.items()])
 
 
 def calendar_columns(ts: Column) -> dict[str, Column]:

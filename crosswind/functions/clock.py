@@ -14,17 +14,19 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 UNKNOWN_ZONE = "Unknown"
-# Zones given as a plain offset from UTC.
-OFFSET = "^[+-](0[0-9]|1[0-7]):[0-5][0-9]$"
 
 
 def known_zone(zone: str) -> Column:
     """The zone in a column, or null for the placeholder and names that are no zone.
 
     A name Spark does not know would fail the whole job at the first row that
-    carries it. The test is one set lookup per row, case-sensitive as zones are.
+    carries it. Known names are one set lookup, case-sensitive as zones are; any
+    other form, such as an offset, counts if Spark itself can make a time in it.
     """
-    return F.expr(f"CASE WHEN `{zone}` IN ({_zone_list()}) OR `{zone}` RLIKE '{OFFSET}' THEN `{zone}` END")
+    known = F.expr(f"`{zone}` IN ({_zone_list()})")
+    numbers = [F.lit(n) for n in (2000, 1, 1, 0, 0, 0)]
+    converted = F.try_make_timestamp(*numbers, F.col(f"`{zone}`")).isNotNull()
+    return F.when(known, F.col(f"`{zone}`")).when(converted, F.col(f"`{zone}`"))
 
 
 @cache

@@ -1,25 +1,79 @@
-"""Text of HTML fragments."""
+"""Text of HTML fragments, in built-in functions."""
 
 from __future__ import annotations
 
-from functools import reduce
+from html.entities import name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Character references that occur in table cells; the ampersand comes last,
-# so that a doubly written reference is undone only once.
-ENTITIES = {"&nbsp;": "\u00a0", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&amp;": "&"}
+REFERENCE = "&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
+# Tables inside tables are followed so deep.
+NESTED = 4
 
 
 def element(tag: str, css_class: str | None = None) -> str:
     """Pattern for the inner HTML of an element, optionally of one exact class."""
-    attributes = r"[^>]*" if css_class is None else rf'[^>]*\bclass\s*=\s*"{css_class}"[^>]*'
-    return rf"(?is)<{tag}\b{attributes}>(.*?)</{tag}\s*>"
+    return rf"(?is)<{tag}\b{_attributes(css_class)}>(.*?)</{tag}\s*>"
+
+
+def _attributes(css_class: str | None) -> str:
+    if css_class is None:
+        return r"[^>]*"
+    values = [rf'"{css_class}"', rf"'{css_class}'"]
+    if " " not in css_class:
+        values.append(rf"{css_class}(?=[\s>/])")
+    return rf"[^>]*\bclass\s*=\s*(?:{'|'.join(values)})[^>]*"
+
+
+def table_block(css_class: str | None = None) -> str:
+    """Pattern for the inner HTML of a table, tables inside it included; to the text's end if it is not closed."""
+    return rf"(?is)<table\b{_attributes(css_class)}>({_table_inside(NESTED)})(?:</table\s*>|\z)"
+
+
+def _table_inside(depth: int) -> str:
+    inner = rf"|<table\b[^>]*>{_table_inside(depth - 1)}</table\s*>" if depth else ""
+    return rf"(?:[^<]++|<(?!/?table\b){inner})*+"
+
+
+def table_part(tag: str) -> str:
+    """Pattern for the inner HTML of a row or cell, which ends where the next begins if it is not closed."""
+    parts = "tr|tbody|thead|tfoot" if tag == "tr" else "td|th|tr|tbody|thead|tfoot"
+    return rf"(?is)<{tag}\b[^>]*>(.*?)(?=</?(?:{parts})\b|\z)"
+
+
+def flat_table(block: Column) -> Column:
+    """Inner HTML of a table with the tables inside it brought down to their text."""
+    inside = rf"(?is)<table\b[^>]*>{_table_inside(NESTED - 1)}</table\s*>"
+    return replaced(block, inside, lambda table: F.regexp_replace(table, "<[^>]*>", " "), "<table")
+
+
+def replaced(text: Column, pattern: str, by, hint: str) -> Column:
+    """Every match of a pattern replaced by a function of it; texts without ``hint`` are left alone."""
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    pieces = F.split(text, pattern, -1)
+    filled = F.array_append(F.transform(found, by), F.lit(""))
+    whole = F.array_join(F.flatten(F.zip_with(pieces, filled, lambda a, b: F.array(a, b))), "")
+    return F.when(F.contains(F.lower(text), F.lit(hint)), whole).otherwise(text)
+
+
+def character(reference: Column) -> Column:
+    """The character of a reference by number or name; an unknown name stays as it is."""
+    name = F.substring(reference, F.lit(2), F.length(reference) - 2)
+    number = (
+        F.when(F.lower(name).startswith("#x"), F.conv(F.substring(name, F.lit(3), F.length(name)), 16, 10))
+        .when(name.startswith("#"), F.substring(name, F.lit(2), F.length(name)))
+        .cast("long")
+    )
+    valid = number.between(1, 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
+    code = F.when(valid, number).otherwise(0xFFFD)
+    by_number = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    names = {n: chr(c) for n, c in name2codepoint.items()} | {"apos": "'"}
+    by_name = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])[name]
+    return F.when(name.startswith("#"), by_number).otherwise(F.coalesce(by_name, reference))
 
 
 def visible_text(html: Column) -> Column:
-    """Text of a fragment: tags dropped, references decoded, ends stripped."""
+    """Text of a fragment: tags dropped, references decoded once, ends stripped."""
     text = F.regexp_replace(html, r"(?s)<!--.*?-->|<[^>]*>", "")
-    text = reduce(lambda c, pair: F.replace(c, F.lit(pair[0]), F.lit(pair[1])), ENTITIES.items(), text)
-    return F.regexp_replace(text, r"^[\s\u00a0]+|[\s\u00a0]+$", "")
+    return F.regexp_replace(replaced(text, REFERENCE, character, "&"), r"^[\s\u00a0]+|[\s\u00a0]+$", "")

@@ -11,19 +11,64 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import (
+    ArrayType,
+    BinaryType,
+    DataType,
+    DecimalType,
+    MapType,
+    StringType,
+    StructType,
+    VariantType,
+)
 
 BROADCAST_BYTES = 64 * 1024 * 1024
+# What a row takes besides its values.
+ROW_BYTES = 16
 
 
 def table_bytes(df: DataFrame) -> int:
-    """Size of a table's values, from one aggregate over the whole table."""
-    row = F.lit(0).cast("long")
-    for field in df.schema.fields:
-        value = df[field.name]
-        is_text = isinstance(field.dataType, StringType)
-        row = row + F.lit(8) + (F.coalesce(F.octet_length(value), F.lit(0)) if is_text else 0)
-    return df.agg(F.sum(row)).first()[0] or 0
+    """Size of a table's values, nested ones included, from one aggregate over the whole table."""
+    row = sum((value_bytes(df[f"`{f.name}`"], f.dataType) for f in df.schema.fields), F.lit(ROW_BYTES))
+    return df.agg(F.sum(row.cast("long"))).first()[0] or 0
+
+
+def value_bytes(value: Column, kind: DataType) -> Column:
+    """Bytes a value takes in a row: its slot, and what the slot points to."""
+    if isinstance(kind, (StringType, BinaryType)):
+        held = F.octet_length(value)
+    elif isinstance(kind, StructType):
+        held = sum((value_bytes(value.getField(f.name), f.dataType) for f in kind.fields), F.lit(8))
+    elif isinstance(kind, ArrayType):
+        held = F.lit(16) + _elements_bytes(value, kind.elementType)
+    elif isinstance(kind, MapType):
+        keys = _elements_bytes(F.map_keys(value), kind.keyType)
+        held = F.lit(40) + keys + _elements_bytes(F.map_values(value), kind.valueType)
+    elif isinstance(kind, VariantType):
+        held = F.octet_length(F.to_json(value))
+    else:
+        return F.lit(16 if isinstance(kind, DecimalType) else 8)
+    return F.lit(8) + F.coalesce(held, F.lit(0))
+
+
+def _elements_bytes(values: Column, kind: DataType) -> Column:
+    return F.aggregate(values, F.lit(0), lambda total, v: total + value_bytes(v, kind).cast("int"))
+
+
+def hashable(df: DataFrame, columns: list[str]) -> list[Column]:
+    """Columns in a form that can be hashed: what holds a map or variant goes as its JSON text."""
+
+    def bare(kind: DataType) -> bool:
+        if isinstance(kind, StructType):
+            return all(bare(f.dataType) for f in kind.fields)
+        if isinstance(kind, ArrayType):
+            return bare(kind.elementType)
+        return not isinstance(kind, (MapType, VariantType))
+
+    return [
+        F.col(f"`{c}`") if bare(df.schema[c].dataType) else F.to_json(F.struct(F.col(f"`{c}`")))
+        for c in columns
+    ]
 
 
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
@@ -99,7 +144,7 @@ def spread_facts(
     all partitions.
     """
     partitions = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    row_hash = F.xxhash64(*(by or facts.columns))
+    row_hash = F.xxhash64(*hashable(facts, by or facts.columns))
     names = {f"key_{i}": f"_heavy_{i}" for i in range(len(keys))}
     small = F.broadcast(heavy.withColumnsRenamed(names | {"pieces": "_pieces"}))
     condition = reduce(
@@ -145,5 +190,6 @@ def spread_join(
     if heavy is None:
         heavy = heavy_keys(facts, [keys])
     left = spread_facts(facts, keys, heavy)
-    right = copy_lookup(lookup, list(on.values()), heavy)
+    # Beyond the limit Spark's own estimate must not bring the broadcast back.
+    right = copy_lookup(lookup, list(on.values()), heavy).hint("merge")
     return keyed_join(left, right, on | {"_piece": "_piece"}, how).drop("_piece")

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -18,6 +19,29 @@ def union_tagged(frames: dict[str, DataFrame], tag: str = "airport") -> DataFram
     return union_files([df.withColumn(tag, F.lit(name)) for name, df in frames.items()])
 
 
+def scan_tagged(
+    spark: SparkSession, paths: dict[str, str], tag: str = "airport", *, columns: list[str] | None = None
+) -> DataFrame:
+    """All rows of several Parquet datasets, each row with the name of its dataset, from one scan.
+
+    The name follows from the file a row is in, by one lookup.
+    """
+    folders = {tidy_path(path): name for path, name in ((p, n) for n, p in paths.items())}
+    rows = spark.read.parquet(*paths.values())
+    chosen = [F.col(f"`{c}`") for c in columns or rows.columns]
+    names = F.create_map(*[F.lit(x) for pair in folders.items() for x in pair])
+    folder = F.regexp_replace(F.col("_metadata.file_path"), "^[A-Za-z][A-Za-z0-9+.-]*:/*", "/")
+    own = F.when(F.element_at(names, folder).isNotNull(), folder).otherwise(
+        F.regexp_replace(folder, "/[^/]*$", "")
+    )
+    return rows.select(*chosen, F.element_at(names, own).alias(tag))
+
+
+def tidy_path(path: str) -> str:
+    """A path without its scheme, as it appears behind the scheme of a file's path."""
+    return "/" + re.sub("^[A-Za-z][A-Za-z0-9+.-]*:/*", "/", path).strip("/")
+
+
 def distinct_keys(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).distinct()
 

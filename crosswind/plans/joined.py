@@ -98,7 +98,8 @@ def join_weather(
     for role in roles:
         on = dict(zip([*ROLES[role], "_piece"], ["time", "airport", "_piece"]))
         spread = spread_facts(flights, ROLES[role], heavy, identity)
-        flights = keyed_join(spread, weather_role(copied, role), on, "left").drop("_piece")
+        seen = weather_role(copied, role).hint("merge")
+        flights = keyed_join(spread, seen, on, "left").drop("_piece")
     return flights
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from crosswind.functions.calendar import calendar_columns
 from crosswind.operators.aggregates import grouped_measures, label_totals, null_ratio
-from crosswind.operators.joins import keyed_join
+from crosswind.operators.joins import BROADCAST_BYTES, keyed_join, lookup_join
 
 CARRIER = ["op_carrier", "op_carrier_name"]
 ORIGIN = ["origin", "airport_name_origin", "longitude_origin", "latitude_origin"]
@@ -66,29 +66,43 @@ def measures_by_time(flights: DataFrame, *, keep_grouping_id: bool = False) -> D
 
 
 def airport_profile(
-    joined: DataFrame,
+    flights: DataFrame,
+    weather: DataFrame,
     traffic: DataFrame,
+    names: DataFrame | None = None,
     *,
     airport: str = "ORIGIN",
-    condition: str = "ORIGIN_WEATHER_CONDITION",
+    time: str = "DEP_TIME_UTC",
     traffic_airport: str = "ORIGIN",
     passengers: str = "PASSENGERS",
     freight: str = "FREIGHT_TONS",
     max_null_ratio: float | None = None,
     min_passengers: float | None = None,
+    limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Per airport: share of flights without weather, and traffic totals.
+    """Per airport: share of flights without weather at departure, traffic totals, and its name.
 
-    The thresholds that make a whitelist of it are the caller's. Both sides are
-    aggregated by airport, so they meet where they are.
+    Flights count once each, however often their hour occurs in the ``weather``,
+    of which ``time`` and ``airport`` are read. ``names`` has ``code`` and
+    ``name``. The thresholds that make a whitelist of it are the caller's, and
+    its columns are those of a whitelist file.
     """
-    ratios = null_ratio(joined, airport, condition, "WEATHER_NULL_RATIO")
+    hours = weather.select("time", "airport").distinct().withColumn("_known", F.lit(1))
+    met = lookup_join(
+        flights.select(airport, time), hours, {time: "time", airport: "airport"}, limit=limit
+    )
+    ratios = null_ratio(met, airport, "_known", "WEATHER_NULL_RATIO")
     totals = traffic.groupBy(traffic_airport).agg(
         F.sum(passengers).alias("PASSENGERS"), F.sum(freight).alias("FREIGHT_TONS")
     )
     profile = keyed_join(ratios, totals, {airport: traffic_airport}, "left")
+    if names is not None:
+        named = names.groupBy("code").agg(F.min("name").alias("AIRPORT"))
+        profile = keyed_join(profile, named, {airport: "code"}, "left")
+    else:
+        profile = profile.withColumn("AIRPORT", F.lit(None).cast("string"))
     if max_null_ratio is not None:
         profile = profile.filter(F.col("WEATHER_NULL_RATIO") <= max_null_ratio)
     if min_passengers is not None:
         profile = profile.filter(F.col("PASSENGERS") >= min_passengers)
-    return profile
+    return profile.select(airport, "AIRPORT", "WEATHER_NULL_RATIO", "PASSENGERS", "FREIGHT_TONS")

@@ -86,13 +86,49 @@ WEATHER_ROLE = [
     "weather_condition",
 ]
 
-# The joined table, in output order.
-JOINED = """
-    FL_DATE ORIGIN DEST OP_CARRIER OP_CARRIER_FL_NUM OP_CARRIER_NAME
-    AIRPORT_NAME_ORIGIN AIRPORT_NAME_DEST
-    CRS_DEP_TIME DEP_TIME DEP_DELAY DEP_DELAY_CATEGORY CANCELLED DIVERTED
-    CITY_ORIGIN STATE_ORIGIN COUNTRY_ORIGIN LONGITUDE_ORIGIN LATITUDE_ORIGIN
-    TIME_ZONE_DEST TIME_ZONE_ORIGIN DEP_TIME_LOCAL DEP_TIME_UTC ARR_TIME_LOCAL ARR_TIME_UTC
-    ARR_TIME ARR_DELAY ARR_DELAY_CATEGORY
-    CITY_DEST STATE_DEST COUNTRY_DEST LONGITUDE_DEST LATITUDE_DEST
-""".split() + [f"{role}_{name.upper()}" for role in ("ORIGIN", "DEST") for name in WEATHER_ROLE]
+# The joined table, in output order.
+JOINED = [
+    "FL_DATE",
+    "ORIGIN",
+    "DEST",
+    "OP_CARRIER",
+    "OP_CARRIER_FL_NUM",
+    "OP_CARRIER_NAME",
+    "AIRPORT_NAME_ORIGIN",
+    "AIRPORT_NAME_DEST",
+    "CRS_DEP_TIME",
+    "DEP_TIME",
+    "DEP_DELAY",
+    "DEP_DELAY_CATEGORY",
+    "CANCELLED",
+    "DIVERTED",
+    "CITY_ORIGIN",
+    "STATE_ORIGIN",
+    "COUNTRY_ORIGIN",
+    "LONGITUDE_ORIGIN",
+    "LATITUDE_ORIGIN",
+    "TIME_ZONE_DEST",
+    "TIME_ZONE_ORIGIN",
+    "DEP_TIME_LOCAL",
+    "DEP_TIME_UTC",
+    "ARR_TIME_LOCAL",
+    "ARR_TIME_UTC",
+    "ARR_TIME",
+    "ARR_DELAY",
+    "ARR_DELAY_CATEGORY",
+    "CITY_DEST",
+    "STATE_DEST",
+    "COUNTRY_DEST",
+    "LONGITUDE_DEST",
+    "LATITUDE_DEST",
+    "ORIGIN_TEMPERATURE_DEG_C",
+    "ORIGIN_WIND_SPEED_KM_PER_HR",
+    "ORIGIN_RELATIVE_HUMIDITY",
+    "ORIGIN_PRECIPITATION",
+    "ORIGIN_WEATHER_CONDITION",
+    "DEST_TEMPERATURE_DEG_C",
+    "DEST_WIND_SPEED_KM_PER_HR",
+    "DEST_RELATIVE_HUMIDITY",
+    "DEST_PRECIPITATION",
+    "DEST_WEATHER_CONDITION",
+]

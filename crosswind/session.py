@@ -60,9 +60,49 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def leaf_files(spark: SparkSession, path: str) -> list[str]:
+    """The data files at or below a path, hidden ones left out, in name order."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.getFileStatus(target).isDirectory():
+        return [path]
+    return [file for child in children(spark, path) for file in leaf_files(spark, child)]
+
+
 def children(spark: SparkSession, directory: str) -> list[str]:
     """Paths directly inside a folder, hidden ones left out, in name order."""
     target = spark._jvm.org.apache.hadoop.fs.Path(directory)
     statuses = target.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(target)
     paths = [status.getPath().toString() for status in statuses]
     return sorted(p for p in paths if p.rsplit("/", 1)[-1][0] not in "._")
+
+
+def file_marks(spark: SparkSession, path: str) -> list[str]:
+    """Name, size and time of every data file at or below a path."""
+    marks = []
+    for file in leaf_files(spark, path):
+        target = spark._jvm.org.apache.hadoop.fs.Path(file)
+        status = target.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(target)
+        marks.append(f"{file} {status.getLen()} {status.getModificationTime()}")
+    return marks
+
+
+def write_note(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file on whatever file system the path names."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+
+
+def read_note(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file, null if there is none."""
+    if not path_exists(spark, path):
+        return None
+    java = spark._jvm.java
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).open(target)
+    reader = java.io.BufferedReader(java.io.InputStreamReader(stream, "UTF-8"))
+    lines = list(iter(reader.readLine, None))
+    reader.close()
+    return "\n".join(lines)

@@ -46,6 +46,20 @@ def replace_sql_view(spark: SparkSession, view: str, query: str, *, temporary: b
     spark.sql(f"CREATE OR REPLACE {'TEMPORARY ' if temporary else ''}VIEW {view} AS {query}")
 
 
+def lasting_catalog(spark: SparkSession) -> bool:
+    """Whether tables and views outlive the session."""
+    return spark.conf.get("spark.sql.catalogImplementation", "in-memory") != "in-memory"
+
+
+def publish_view(spark: SparkSession, view: str, path: str) -> None:
+    """Create or replace a view of a Parquet dataset, one that lasts where the catalog does."""
+    if not lasting_catalog(spark):
+        replace_view(spark.read.parquet(path), view)
+        return
+    escaped = path.replace("`", "``")
+    replace_sql_view(spark, view, f"SELECT * FROM parquet.`{escaped}`", temporary=False)
+
+
 def rename_column(df: DataFrame, old: str, new: str) -> DataFrame:
     """The one column spelled exactly ``old`` renamed; other spellings stay."""
     return df.toDF(*[new if name == old else name for name in df.columns])

@@ -4,16 +4,40 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-from crosswind.session import path_exists
+from crosswind.session import path_exists, read_note, write_note
 
 
-def write_csv(df: DataFrame, path: str, *, partition_by: tuple[str, ...] = ()) -> None:
-    """CSV with header, quotes doubled as the readers expect."""
+def write_csv(
+    df: DataFrame, path: str, *, partition_by: tuple[str, ...] = (), multiline: bool = False
+) -> None:
+    """CSV with header that reads back as it was: blanks, quotes, empty texts and nulls.
+
+    Line breaks inside a text need a reader with ``multiline``; without it here
+    they are an error, not rows cut in two.
+    """
+    if not multiline:
+        df = df.withColumns(
+            {f.name: _one_line(f.name) for f in df.schema.fields if isinstance(f.dataType, StringType)}
+        )
     writer = _gathered(df, partition_by).write.partitionBy(*partition_by)
-    writer.csv(path, header=True, mode="overwrite", escape='"')
+    writer.csv(
+        path,
+        header=True,
+        mode="overwrite",
+        escape='"',
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
+    )
+
+
+def _one_line(name: str) -> Column:
+    text = F.col(f"`{name}`")
+    broken = F.raise_error(F.lit(f"a line break in {name}: write with multiline"))
+    return F.when(text.rlike(r"[\r\n]"), broken.cast("string")).otherwise(text)
 
 
 def write_parquet(
@@ -33,10 +57,10 @@ def _gathered(df: DataFrame, folders: tuple[str, ...]) -> DataFrame:
     return df.hint("rebalance", *map(F.col, folders)) if folders else df
 
 
-def write_counted(df: DataFrame, path: str) -> int:
-    """Parquet, and the number of rows written, from the same run."""
+def write_counted(df: DataFrame, path: str, *, files: int | None = None) -> int:
+    """Parquet, in ``files`` files if given, and the number of rows written, from the same run."""
     seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
+    write_parquet(df.observe(seen, F.count(F.lit(1)).alias("n")), path, files=files)
     return seen.get["n"]
 
 
@@ -63,13 +87,18 @@ def write_failure_list(df: DataFrame, column: str, path: str) -> None:
 
 
 def load_or_build(
-    spark: SparkSession, path: str, build: Callable[[], DataFrame]
+    spark: SparkSession, path: str, build: Callable[[], DataFrame], *, recipe: str = ""
 ) -> DataFrame:
     """The dataset at a path, built and written first if it is not there.
 
     A finished write leaves a ``_SUCCESS`` file; without it the data is built
-    again, so a job that died half way does not pass for done.
+    again, so a job that died half way does not pass for done. ``recipe`` says
+    what the data is made of; it is kept beside the data, which is built anew
+    when the recipe is another.
     """
-    if not path_exists(spark, f"{path}/_SUCCESS"):
+    note = f"{path}/_recipe"
+    done = path_exists(spark, f"{path}/_SUCCESS")
+    if not done or (recipe and read_note(spark, note) != recipe):
         write_parquet(build(), path)
+        write_note(spark, note, recipe)
     return spark.read.parquet(path)

@@ -8,9 +8,11 @@ from pyspark.sql.types import IntegerType, LongType, StringType, StructType
 
 from crosswind.operators.unions import union_files
 from crosswind.schemas import AIRPORTS, CARRIERS, FLIGHTS, RAW_FLIGHTS, WEATHER, WHITELIST
-from crosswind.session import children
+from crosswind.session import children, leaf_files
 
 POSITION = "_position"
+# Stands for null while reading, so that an empty text in quotes stays one.
+NO_VALUE = "\0"
 
 
 def typed(name: str, data_type) -> Column:
@@ -29,13 +31,43 @@ def typed(name: str, data_type) -> Column:
     return text.try_cast(data_type).alias(name)
 
 
-def read_text_columns(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """A CSV file with header, every column as text; nothing is inferred."""
-    return spark.read.csv(path, header=True, escape='"')
+def read_text_columns(spark: SparkSession, path: str, *, multiline: bool = False) -> DataFrame:
+    """CSV with header, every column as text, each file under its own header.
+
+    Files of a folder that share a header are read together; a column that some
+    of them lack is null there. Texts come back as they were written: blanks at
+    their ends, and empty texts apart from nulls. ``multiline`` allows line
+    breaks inside quotes, at the price that a file is not split among tasks.
+    """
+    by_header: dict[str, list[str]] = {}
+    for file in leaf_files(spark, path):
+        first = spark.read.text(file).first()
+        if first is not None:
+            by_header.setdefault(first[0], []).append(file)
+    groups = [[path]] if len(by_header) < 2 else list(by_header.values())
+    frames = [
+        spark.read.csv(
+            files,
+            header=True,
+            escape='"',
+            multiLine=multiline,
+            ignoreLeadingWhiteSpace=False,
+            ignoreTrailingWhiteSpace=False,
+            nullValue=NO_VALUE,
+            emptyValue="",
+        )
+        for files in groups
+    ]
+    return union_files(frames)
 
 
 def read_table(
-    spark: SparkSession, path: str, schema: StructType, *, position: bool = False
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    *,
+    position: bool = False,
+    multiline: bool = False,
 ) -> DataFrame:
     """The declared columns of a file, picked by name, whatever its column order.
 
@@ -46,7 +78,7 @@ def read_table(
         raw = spark.read.parquet(path)
         columns = [F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields]
     else:
-        raw = read_text_columns(spark, path)
+        raw = read_text_columns(spark, path, multiline=multiline)
         columns = [typed(f.name, f.dataType) for f in schema.fields]
     if position:
         place = F.struct(
@@ -69,16 +101,16 @@ def scan_weather(spark: SparkSession, path: str) -> DataFrame:
 
 
 def scan_whitelist(spark: SparkSession, path: str) -> DataFrame:
-    return read_table(spark, path, WHITELIST)
+    return read_table(spark, path, WHITELIST, multiline=True)
 
 
 def scan_carriers(spark: SparkSession, path: str) -> DataFrame:
     """Carrier codes in file order, since the last entry of a code counts."""
-    return read_table(spark, path, CARRIERS, position=True)
+    return read_table(spark, path, CARRIERS, position=True, multiline=True)
 
 
 def scan_airports(spark: SparkSession, path: str) -> DataFrame:
-    return read_table(spark, path, AIRPORTS)
+    return read_table(spark, path, AIRPORTS, multiline=True)
 
 
 def year_paths(spark: SparkSession, directory: str, start_year: int) -> list[str]:

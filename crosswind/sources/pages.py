@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crosswind.functions.text import element, visible_text
+from crosswind.functions.text import flat_table, table_block, table_part, visible_text
 from crosswind.operators.lookups import last_wins
 
 # Carriers the page does not list.
@@ -17,9 +17,9 @@ def html_rows(
     *,
     html: str = "html",
     page: str = "page_id",
-    block: str = element("table", "wikitable sortable"),
-    row: str = element("tr"),
-    cell: str = element("td"),
+    block: str = table_block("wikitable sortable"),
+    row: str = table_part("tr"),
+    cell: str = table_part("td"),
     skip_rows: int = 1,
     cells: dict[str, int] | None = None,
 ) -> DataFrame:
@@ -27,7 +27,8 @@ def html_rows(
 
     ``block``, ``row`` and ``cell`` are patterns with one group, ``cells`` maps
     output names to cell numbers counted from 0. The first ``skip_rows`` rows of
-    each block are headers; rows without one of the cells are left out.
+    each block are headers; rows without one of the cells are left out. Tables
+    inside a cell are part of its text.
     """
     cells = cells or {"iata": 2, "icao": 3, "name": 4}
     blocks = pages.select(
@@ -37,7 +38,9 @@ def html_rows(
     rows = blocks.select(
         page,
         "block_no",
-        F.posexplode(F.regexp_extract_all("block", F.lit(row), F.lit(1))).alias("row_no", "row"),
+        F.posexplode(
+            F.regexp_extract_all(flat_table(F.col("block")), F.lit(row), F.lit(1))
+        ).alias("row_no", "row"),
     ).where(F.col("row_no") >= skip_rows)
     found = rows.select(
         page, "block_no", "row_no", F.regexp_extract_all("row", F.lit(cell), F.lit(1)).alias("cell")

@@ -81,3 +81,25 @@ def test_every_listed_zone_converts(spark):
     known = df.select("z", clock.to_utc(hour, clock.known_zone("z")).alias("u"))
     assert known.where("u IS NULL").count() == 0
     assert known.count() > 500
+
+
+def test_every_zone_that_spark_converts_is_kept(spark):
+    from crosswind.functions.clock import known_zone, to_utc
+
+    good = ["UTC+05:00", "GMT+5", "+18:00", "+5:30", "Z", "-03:15", "Europe/Paris", "EST", "UTC", "+01:02:03"]
+    bad = ["Unknown", "Mars/Base", "america/denver", "", "+19:00", "5"]
+    zones = spark.createDataFrame([(z,) for z in [*good, *bad, None]], "zone string")
+    local = F.lit("2018-07-01 12:00:00").cast("timestamp_ntz")
+    kept = zones.select("zone", known_zone("zone").alias("known"), to_utc(local, known_zone("zone")).alias("utc"))
+    rows = {r.zone: (r.known, r.utc) for r in kept.collect()}
+    assert all(rows[z][0] == z and rows[z][1] is not None for z in good)
+    assert all(rows[z] == (None, None) for z in [*bad, None])
+
+
+def test_months_of_seasons(spark):
+    from crosswind.functions.calendar import season
+
+    months = spark.createDataFrame([(m,) for m in [None, *range(-1, 15)]], "m int")
+    named = {r.m: r.s for r in months.select("m", season(F.col("m")).alias("s")).collect()}
+    assert [named[m] for m in (12, 1, 2, 3, 5, 6, 8, 9, 11)] == ["Winter"] * 3 + ["Spring"] * 2 + ["Summer"] * 2 + ["Autumn"] * 2
+    assert {named[m] for m in (None, -1, 0, 13, 14)} == {None}

@@ -7,13 +7,16 @@ from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from crosswind import schemas
 from crosswind.functions.text import visible_text
-from crosswind.operators.unions import preview, union_files, union_tagged
+from crosswind.operators.unions import preview, scan_tagged, union_files, union_tagged
 from crosswind.session import scratch_path
 from crosswind.sinks import catalog, files
+from crosswind.sinks.files import load_or_build, write_csv
 from crosswind.sources import files as readers
+from crosswind.sources.files import read_table, scan_years
 from crosswind.sources.pages import EXTRA_CARRIERS, carriers_from_rows, html_rows
 
 
@@ -183,3 +186,78 @@ def test_unions_and_preview(spark):
     assert sorted(union_files([a, b]).collect(), key=str) == [(1, "x", None), (2, "y", True)]
     assert {(r.n, r.airport) for r in union_tagged({"JFK": a, "ATL": a}).collect()} == {(1, "JFK"), (1, "ATL")}
     assert [r.id for r in preview(spark.range(100), ["id"]).collect()] == list(range(10))
+
+
+def test_csv_comes_back_as_it_was_written(spark, tmp_path):
+    texts = [" lead", "trail ", "", None, 'a "quote"', "a,b", "a\\b", "#c", "\ttab", "é 漢", '""', "null"]
+    rows = [(i, t, t) for i, t in enumerate(texts)]
+    kinds = StructType([StructField("n", LongType()), StructField("a", StringType()), StructField("b", StringType())])
+    write_csv(spark.createDataFrame(rows, kinds), str(tmp_path / "t.csv"))
+    back = read_table(spark, str(tmp_path / "t.csv"), kinds).collect()
+    assert sorted(map(tuple, back)) == rows
+
+    broken = [(1, "a\nb", "x\r\ny"), (2, 'c "\n" d', None)]
+    with pytest.raises(Exception, match="line break"):
+        write_csv(spark.createDataFrame(broken, kinds), str(tmp_path / "u.csv"))
+    write_csv(spark.createDataFrame(broken, kinds), str(tmp_path / "u.csv"), multiline=True)
+    back = read_table(spark, str(tmp_path / "u.csv"), kinds, multiline=True).collect()
+    assert [(r.n, (r.a or "").replace("\r\n", "\n")) for r in sorted(back)] == [(1, "a\nb"), (2, 'c "\n" d')]
+
+
+def test_files_of_a_folder_keep_their_own_headers(spark, tmp_path):
+    kinds = StructType([StructField(c, StringType()) for c in ("FL_DATE", "ORIGIN", "DEST")])
+    for year, files in {"2020": ["FL_DATE,ORIGIN,DEST\n1,JFK,ORD\n", "FL_DATE,DEST,ORIGIN\n2,ATL,LAX\n", "DEST,FL_DATE\nSEA,3\n"]}.items():
+        folder = tmp_path / f"year={year}"
+        folder.mkdir()
+        for i, text in enumerate(files):
+            (folder / f"{i}.csv").write_text(text)
+        (folder / "empty.csv").write_text("")
+    expected = [("1", "JFK", "ORD"), ("2", "LAX", "ATL"), ("3", None, "SEA")]
+    assert sorted(map(tuple, scan_years(spark, str(tmp_path), 2020, kinds).collect())) == expected
+    assert sorted(map(tuple, read_table(spark, str(tmp_path / "year=2020"), kinds).collect())) == expected
+
+
+def test_results_of_another_recipe_are_built_anew(spark, tmp_path):
+    built = []
+
+    def build(n: int):
+        return lambda: built.append(n) or spark.createDataFrame([(n,)], "n int")
+
+    path = str(tmp_path / "kept")
+    for n, recipe in ((1, "a"), (2, "a"), (3, "b"), (4, "b")):
+        value = load_or_build(spark, path, build(n), recipe=recipe).first().n
+        assert value == {1: 1, 2: 1, 3: 3, 4: 3}[n]
+    assert built == [1, 3]
+
+
+def test_tags_follow_from_the_files(spark, tmp_path):
+    for name in ("JFK", "ATL"):
+        spark.createDataFrame([(1, name)], "n int, own string").write.parquet(str(tmp_path / name))
+    paths = {name: f"file://{tmp_path}/{name}" for name in ("JFK", "ATL")}
+    tagged = scan_tagged(spark, paths)
+    assert sorted((r.own, r.airport) for r in tagged.collect()) == [("ATL", "ATL"), ("JFK", "JFK")]
+    assert tagged._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+
+
+@pytest.mark.parametrize(
+    "table",
+    [
+        "<table class='wikitable sortable'>{rows}</table>",
+        '<TABLE id=x class = "wikitable sortable" border>{rows}</TABLE>',
+        '<table class="other"><tr><td>no</table><table class="wikitable sortable">{rows}',
+    ],
+)
+@pytest.mark.parametrize(
+    "row",
+    [
+        "<tr><td>-</td><td>-</td><td>{0}</td><td>x</td><td>{1}</td></tr>",
+        "<tr><td>-<td>-<td>{0}<td>x<td>{1}",
+        "<tr><td>-</td><td><table><tr><td>in<td>ner</table></td><td>{0}<td>x<td>{1}</tr>",
+    ],
+)
+def test_rows_of_ordinary_html(spark, table, row):
+    head = "<tr><th>a<th>b</tr>"
+    rows = head + row.format("AA", "Am&eacute;rica &#8211; &#x27;x&apos; &amp;lt; &unknown; &copy;") + row.format("BB", "B")
+    pages = spark.createDataFrame([(1, table.format(rows=rows))], "page_id long, html string")
+    out = [(r.iata, r.icao, r.name) for r in html_rows(pages).orderBy("row_no").collect()]
+    assert out == [("AA", "x", "América – 'x' &lt; &unknown; ©"), ("BB", "x", "B")]

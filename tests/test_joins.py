@@ -73,12 +73,44 @@ def test_key_sets_are_counted_together(spark):
 
 def test_table_bytes_counts_text(spark):
     df = spark.createDataFrame([("abc", 1), (None, 2)], "s string, i int")
-    assert joins.table_bytes(df) == 2 * 16 + 3
-    assert joins.fits_broadcast(df, 35)
-    assert not joins.fits_broadcast(df, 34)
+    size = 2 * (16 + joins.ROW_BYTES) + 3
+    assert joins.table_bytes(df) == size
+    assert joins.fits_broadcast(df, size)
+    assert not joins.fits_broadcast(df, size - 1)
     assert joins.table_bytes(df.limit(0)) == 0
 
 
+def test_table_bytes_counts_nested_values(spark):
+    rows = [(("x" * 10_000, [1]), ["y" * 100] * 10, {"k": "z" * 500}, bytearray(2000), None)] * 50
+    kinds = "s struct<t: string, a: array<int>>, a array<string>, m map<string, string>, b binary, n struct<t: string>"
+    held = 50 * (10_000 + 1000 + 500 + 2000)
+    assert held < joins.table_bytes(spark.createDataFrame(rows, kinds)) < 1.2 * held
+
+
+@pytest.mark.parametrize("limit", [0, joins.BROADCAST_BYTES])
+def test_facts_of_any_type_on_both_sides_of_the_limit(spark, limit):
+    rows = [(i % 3, {"a": i, "b": 1}, [i, None], (i, {"c": 2}), bytearray([i % 256])) for i in range(300)]
+    kinds = "k int, m map<string, int>, a array<int>, s struct<i: int, m: map<string, int>>, b binary"
+    facts = spark.createDataFrame(rows, kinds)
+    lookup = spark.createDataFrame([(0, "zero"), (1, "one")], "key int, name string")
+    out = joins.lookup_join(facts, lookup, {"k": "key"}, limit=limit)
+    assert sorted((r.k, r.m["a"], r.a[0], r.s.m["c"], r.name or "") for r in out.collect()) == sorted(
+        (k, m["a"], a[0], 2, {0: "zero", 1: "one"}.get(k, "")) for k, m, a, *_ in rows
+    )
+
+
+def test_beyond_the_limit_nothing_is_broadcast_but_the_heavy_keys(spark):
+    # A third of the facts share one key.
+    facts = spark.range(3000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 0 ELSE id END AS k")
+    lookup = spark.range(3000).selectExpr("id AS key", "id * 2 AS twice")
+    heavy = joins.heavy_keys(facts, [["k"]])
+    assert [(r.key_0, r.pieces > 1) for r in heavy.collect()] == [(0, True)]
+    out = joins.lookup_join(facts, lookup, {"k": "key"}, limit=0)
+    assert out.where("twice = 2 * k").count() == 3000
+    plan = out._jdf.queryExecution().toString()
+    assert "SortMergeJoin" in plan
+
+
 def test_last_and_first_entries(spark):
     df = spark.createDataFrame(
         [("a", "x", 1), ("a", "y", 3), ("a", "z", 2), ("b", None, 5), ("b", "q", 4)], "k string, v string, n int"

@@ -77,6 +77,38 @@ def test_flow(spark, inputs, tmp_path):
     assert spark.table("flights_with_weather").count() == 3
 
 
+def test_other_parameters_give_other_results(spark, inputs, tmp_path):
+    publish(spark, **arguments(inputs, tmp_path))
+    other = tmp_path / "whitelist.csv"
+    other.write_text("ORIGIN,AIRPORT,WEATHER_NULL_RATIO,PASSENGERS,FREIGHT_TONS\nJFK,Kennedy,0.1,10,1\n")
+    changed = arguments(inputs, tmp_path) | {"whitelist": str(other)}
+    assert publish(spark, **changed, start_year=2017) == 3
+    rows = spark.table("flights_with_weather").select("FL_DATE", "ORIGIN").collect()
+    assert {r.ORIGIN for r in rows} == {"JFK"} and min(r.FL_DATE.year for r in rows) == 2017
+
+
+def test_measures_can_be_read_by_another_program(spark, inputs, tmp_path):
+    publish(spark, **arguments(inputs, tmp_path), files=1)
+    script = (
+        "import sys, pyarrow.parquet as pq\n"
+        "print(*[pq.read_table(f'{sys.argv[1]}/measures_by_{x}').num_rows for x in ('locale', 'time')])"
+    )
+    shown = subprocess.run([sys.executable, "-c", script, str(tmp_path)], capture_output=True, text=True, check=True)
+    counts = [spark.table(f"measures_by_{x}").count() for x in ("locale", "time")]
+    assert shown.stdout.split() == [str(n) for n in counts]
+    assert len(list((tmp_path / "joined").glob("part-*"))) == 1
+
+
+def test_carriers_from_pages(spark, inputs, tmp_path):
+    table = "<table class='wikitable sortable'><tr><th>x<tr><td>-<td>-<td>AA<td>AAL<td>American &amp; Co</table>"
+    spark.createDataFrame([(1, table)], "page_id long, html string").write.parquet(str(tmp_path / "pages"))
+    given = arguments(inputs, tmp_path / "out")
+    del given["carriers"]
+    assert publish(spark, **given, pages=str(tmp_path / "pages")) == 3
+    names = {r.OP_CARRIER: r.OP_CARRIER_NAME for r in spark.table("flights_with_weather").collect()}
+    assert names == {"AA": "American & Co", "ZZ": None}
+
+
 def test_command_line_names_its_arguments():
     script = Path(__file__).resolve().parent.parent / "crosswind" / "plans" / "publish.py"
     shown = subprocess.run([sys.executable, str(script), "--help"], capture_output=True, text=True, check=True)
