@@ -202,6 +202,54 @@ def scan_dims(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.scan_airports(spark, path)
 
 
+@checked("SELECT Code, Carrier FROM carriers", "carriers")
+def scan_carriers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "carriers.csv")
+    files.write_csv(view(spark, sf_dir, "carriers").select("Carrier", "Code"), path)
+    return readers.scan_carriers(spark, path).select("Code", "Carrier")
+
+
+@checked(
+    """SELECT ORIGIN, AIRPORT, CAST(NULL AS DOUBLE) AS WEATHER_NULL_RATIO,
+              CAST(length(AIRPORT) AS BIGINT) AS PASSENGERS, CAST(NULL AS BIGINT) AS FREIGHT_TONS FROM whitelist""",
+    "airports whitelist",
+)
+def scan_whitelist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "whitelist.csv")
+    listed = view(spark, sf_dir, "whitelist").select(
+        "ORIGIN",
+        "AIRPORT",
+        F.lit(None).cast("double").alias("WEATHER_NULL_RATIO"),
+        # Whole numbers written with a fraction.
+        F.length("AIRPORT").cast("double").alias("PASSENGERS"),
+        F.lit(None).cast("double").alias("FREIGHT_TONS"),
+    )
+    files.write_csv(listed, path)
+    return readers.scan_whitelist(spark, path)
+
+
+@checked(ORDERS_SQL + " WHERE year(o_orderdate) >= 1998")
+def scan_mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Yearly folders whose files differ in the order of their columns."""
+    directory = scratch_path(spark, "years")
+    orders = table(spark, sf_dir, "orders").where(F.col("o_orderdate") >= F.lit("1997-01-01").cast("timestamp_ntz"))
+    for year in range(1997, 2002):
+        rows = orders.where(F.year("o_orderdate") == year)
+        for side, columns in enumerate((orders.columns, list(reversed(orders.columns)))):
+            part = rows.where(F.col("o_orderkey") % 2 == side).select(*columns)
+            files.write_csv(part, f"{directory}/year={year}/{side}")
+    return readers.scan_years(spark, directory, 1998, ORDERS)
+
+
+@checked("SELECT conv_id, turn, role, text FROM conversations")
+def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts with quotes, blanks and line breaks, written and read back."""
+    path = scratch_path(spark, "conversations.csv")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    files.write_csv(turns, path, multiline=True)
+    return readers.read_table(spark, path, turns.schema, multiline=True)
+
+
 PAGE_ROWS_SQL = r"""
     found AS (
         SELECT page_id, block_no, row_no,
@@ -839,6 +887,21 @@ def measures_by_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     return measures.measures_by_time(measures.star_plus(timed_flights(spark, sf_dir)))
 
 
+@checked(
+    f""", {TIMED_SQL}
+    SELECT year, month, day, dayname, season, avg(DEP_DELAY) AS avg_dep_delay, {MEASURES_SQL}
+    FROM (SELECT *, {calendar_sql('DEP_TIME_UTC')} FROM timed)
+    GROUP BY GROUPING SETS ((season), (dayname), (day), (month), (year))""",
+    "flights",
+)
+def published_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The measures by time as published: written, and read back through their view."""
+    path = scratch_path(spark, "measures_by_time")
+    files.write_parquet(measures_by_time(spark, sf_dir), path)
+    catalog.publish_view(spark, "crosswind_measures_by_time", path)
+    return spark.table("crosswind_measures_by_time")
+
+
 @checked(
     f"""SELECT coalesce(op_carrier_name, 'ALL') AS op_carrier_name, coalesce(origin, 'ALL') AS origin,
                grouping_id, total_flight_cnt
