@@ -120,15 +120,11 @@ def numbered(
     )
 
 
-def batches(function, schema: pa.Schema):
-    """A ``mapInArrow`` function from one that turns a batch into columns."""
+def slices(stream: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """Batches in smaller pieces, so that few texts are held in Python at a time."""
+    for batch in stream:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
 
-    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in stream:
-            if batch.num_rows:
-                yield pa.RecordBatch.from_arrays(function(batch), schema=schema)
 
-    return run
-
-
-__all__ = ["BROADCAST_BYTES", "batches", "lookup", "numbered", "row_key", "ship", "text_bytes"]
+__all__ = ["BROADCAST_BYTES", "lookup", "numbered", "row_key", "ship", "slices", "text_bytes"]

@@ -6,9 +6,10 @@
    weighted by how often they occur in it and how rare they are, and puts them
    together into bands.
 3. Equal texts are one from here on. Texts that share a band are compared, not
-   each with each: the first of a band with all others, then those still apart
-   with further ones. A pair counts if its weighted Jaccard similarity, over all
-   shingles, is at least 0.8.
+   each with each: the first of a band with all others, then those whose classes
+   are still apart with further ones, in small bands all of them. A pair counts if its weighted Jaccard similarity, over all
+   shingles, is at least 0.8; a pair just below it only for its weights, that
+   is at 0.8 with every distinct shingle counted once, counts too.
 4. Connected texts form a class.
 
 Copies are never expanded into pairs, and no task holds a band's members at
@@ -32,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from crosswind.llm import shingles
-from crosswind.llm.common import ship, text_bytes
+from crosswind.llm.common import ship, slices, text_bytes
 from crosswind.session import settle
 
 SIMILAR = 0.8
@@ -40,7 +41,6 @@ SIMILAR = 0.8
 SLICE = 1 << 14
 # Bands with at most this many texts still apart have all of them compared.
 FEW = 6
-ROUNDS = 6
 
 
 def counted(texts: DataFrame) -> np.ndarray:
@@ -48,7 +48,7 @@ def counted(texts: DataFrame) -> np.ndarray:
 
     def count(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros(shingles.COUNTERS, np.int64)
-        for batch in stream:
+        for batch in slices(stream):
             found = (shingles.distinct(shingles.fingerprints(shingles.shingle_hashes(t)))[0] for t in text_bytes(batch.column(0)))
             for some in shingles.chunks(list(found), len):
                 at, n = np.unique(shingles.counters(np.concatenate(some)), return_counts=True)
@@ -70,9 +70,9 @@ def counted(texts: DataFrame) -> np.ndarray:
             )
 
     schema = "slice int, counts binary"
-    slices = shingles.COUNTERS // SLICE
-    partial = texts.mapInArrow(count, schema).repartition(slices, "slice").mapInArrow(add, schema)
-    total = np.zeros((slices, SLICE), np.int64)
+    parts = shingles.COUNTERS // SLICE
+    partial = texts.mapInArrow(count, schema).repartition(parts, "slice").mapInArrow(add, schema)
+    total = np.zeros((parts, SLICE), np.int64)
     # A table of fixed size: the sketch itself.
     for row in partial.toLocalIterator():
         total[row["slice"]] += np.frombuffer(zlib.decompress(row["counts"]), "<i8")
@@ -84,7 +84,7 @@ def features(texts: DataFrame, idf) -> DataFrame:
 
     def sample(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.frombuffer(idf.value, "<f4")
-        for batch in stream:
+        for batch in slices(stream):
             rows = zip(batch.column(1).to_pylist(), text_bytes(batch.column(0)))
             each = [(i, shingles.digest(t), shingles.fingerprints(shingles.shingle_hashes(t))) for i, t in rows]
             for some in shingles.chunks(each, lambda row: 1 + len(row[2])):
@@ -111,11 +111,11 @@ def compared(pairs: DataFrame, table: DataFrame, idf, least: float) -> DataFrame
         weights = np.frombuffer(idf.value, "<f4")
         for batch in stream:
             ab = [batch.column(i).to_pylist() for i in (2, 3)]
-            keep = [shingles.weighted_jaccard(x, y, weights) >= least for x, y in zip(*ab)]
+            keep = [max(shingles.jaccards(x, y, weights)) >= least for x, y in zip(*ab)]
             yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(keep, pa.bool_())) for i in (0, 1)], ["a", "b"])
 
     ends = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("rid"))
-    met = ends.join(table.select("rid", "prints"), "rid")
+    met = ends.hint("merge").join(table, "rid")
     both = met.groupBy("a", "b").agg(
         F.max(F.when(F.col("rid") == F.col("a"), F.col("prints"))).alias("x"),
         F.max(F.when(F.col("rid") == F.col("b"), F.col("prints"))).alias("y"),
@@ -138,39 +138,37 @@ def connected(edges: DataFrame) -> DataFrame:
         seen = sign
         both = stars.unionAll(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         moved = large.join(least, "a").where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         stars = settle(least.select("a", F.col("m").alias("b")).unionAll(moved).where("a != b").distinct(), "stars")
 
 
-def first_round(bands: DataFrame) -> DataFrame:
-    """Every member of a band with the band's first member."""
-    heads = bands.groupBy("band").agg(F.min("rid").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    return bands.join(heads, "band").where("rid != head").select(F.col("head").alias("a"), F.col("rid").alias("b")).distinct()
-
-
-def next_round(bands: DataFrame, roots: DataFrame, tried: DataFrame, turn: int) -> DataFrame:
+def further_pairs(shared: DataFrame, roots: DataFrame, tried: DataFrame) -> DataFrame:
     """Pairs within a band whose classes are still apart and that were not compared yet.
 
-    Few members left: all pairs. More: with a member that this turn picks.
+    Few members: all pairs. More: each with several others, two picked among the
+    members and two among the classes, so small classes are picked as well.
     """
-    by_class = bands.join(roots, bands.rid == roots.node, "left").select(
+    members = shared.join(roots, shared.rid == roots.node, "left").select(
         "band", "rid", F.coalesce("root", "rid").alias("root")
     )
-    spread = by_class.groupBy("band").agg(
+    one = F.struct("rid", "root")
+    picks = [F.min_by(one, F.xxhash64(F.lit(turn), by)) for turn, by in enumerate(("rid", "rid", "root", "root"))]
+    spread = members.groupBy("band").agg(
         F.count(F.lit(1)).alias("n"),
         (F.min("root") != F.max("root")).alias("apart"),
-        F.min_by("rid", F.xxhash64(F.lit(turn), "rid")).alias("head"),
-        F.min_by("root", F.xxhash64(F.lit(turn), "rid")).alias("head_root"),
-    ).where("apart")
-    members = by_class.join(spread, "band")
+        F.array_distinct(F.array(*picks)).alias("picked"),
+    )
+    members = members.join(spread.where("apart").drop("apart"), "band")
     small = members.where(F.col("n") <= FEW)
     other = small.select("band", F.col("rid").alias("b"), F.col("root").alias("b_root"))
-    every = small.select("band", F.col("rid").alias("a"), "root").join(other, "band").where("a < b AND root != b_root").select("a", "b")
-    star = members.where((F.col("n") > FEW) & (F.col("root") != F.col("head_root")))
-    picked = star.select(F.least("head", "rid").alias("a"), F.greatest("head", "rid").alias("b"))
-    return every.unionAll(picked).distinct().join(tried, ["a", "b"], "left_anti")
+    every = small.select("band", F.col("rid").alias("a"), "root").join(other, "band").where("a < b AND root != b_root")
+    star = members.where(F.col("n") > FEW).select("rid", "root", F.explode("picked").alias("other")).where("root != other.root")
+    both = every.select("a", "b").unionAll(
+        star.select(F.least("other.rid", "rid").alias("a"), F.greatest("other.rid", "rid").alias("b"))
+    )
+    return both.distinct().join(tried, ["a", "b"], "left_anti")
 
 
 def classes(
@@ -179,8 +177,9 @@ def classes(
     """``id, digest, class_id, class_size, first`` of every row.
 
     ``class_id`` is the smallest id in the class, or a negative number where
-    there is none or another class has it too; ``class_size`` is its rows. ``first`` marks one row of each
-    class, or several that are equal in id and text.
+    there is none or another class has it too; ``class_size`` is its rows.
+    ``first`` marks one row of each class, or several that are equal in id and
+    text.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -197,20 +196,19 @@ def classes(
     bands = settle(
         table.join(heads.select("rid"), "rid", "left_semi").select("rid", F.explode("bands").alias("band")), "bands"
     )
-    crowded = bands.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band")
-    bands = settle(bands.join(crowded, "band", "left_semi"), "shared-bands")
-    tried = settle(first_round(bands), "pairs")
-    edges = settle(compared(tried, table, idf, least), "similar")
+    firsts = bands.groupBy("band").agg(F.min("rid").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = settle(bands.join(firsts.drop("n"), "band"), "shared-bands")
+    # From here on only shingles of texts that share a band travel. One way at any size.
+    wanted = shared.select("rid").distinct().hint("merge")
+    prints = settle(table.select("rid", "prints").join(wanted, "rid", "left_semi"), "prints")
+    first_pairs = shared.where("rid != head").select(F.col("head").alias("a"), F.col("rid").alias("b"))
+    tried = settle(first_pairs.distinct(), "pairs")
+    edges = settle(compared(tried, prints, idf, least), "similar")
     roots = connected(edges)
-    for turn in range(ROUNDS):
-        pairs = settle(next_round(bands, roots, tried, turn), "pairs")
-        if pairs.isEmpty():
-            break
-        fresh = settle(compared(pairs, table, idf, least), "similar")
-        tried = tried.unionAll(pairs)
-        if not fresh.isEmpty():
-            edges = edges.unionAll(fresh)
-            roots = connected(edges)
+    fresh = settle(compared(further_pairs(shared, roots, tried), prints, idf, least), "similar")
+    if not fresh.isEmpty():
+        # Classes found so far stay together; only their roots are joined anew.
+        roots = connected(roots.select(F.col("root").alias("a"), F.col("node").alias("b")).unionAll(fresh))
     rooted = heads.join(roots, heads.rid == roots.node, "left").select(
         "digest", "least_id", "copies", F.coalesce("root", "rid").alias("root")
     )

@@ -151,13 +151,17 @@ def chunks(items: list, size) -> Iterator[list]:
         yield taken
 
 
-def weighted_jaccard(left: bytes, right: bytes, idf: np.ndarray) -> float:
-    """Sum of lesser over sum of greater weights; texts come as sorted fingerprints."""
+def jaccards(left: bytes, right: bytes, idf: np.ndarray) -> tuple[float, float]:
+    """Weighted and plain Jaccard similarity of two texts, which come as sorted fingerprints.
+
+    Weighted: the sum of lesser over the sum of greater weights. Plain: shared
+    over all distinct shingles.
+    """
     a, n = distinct(np.frombuffer(left, "<u4"))
     b, m = distinct(np.frombuffer(right, "<u4"))
     if not len(a) or not len(b):
-        return 0.0
+        return 0.0, 0.0
     shared, i, j = np.intersect1d(a, b, assume_unique=True, return_indices=True)
     less = float((np.minimum(n[i], m[j]) * idf[counters(shared)].astype(float)).sum())
     whole = float((n * idf[counters(a)].astype(float)).sum() + (m * idf[counters(b)].astype(float)).sum())
-    return less / (whole - less)
+    return less / (whole - less), len(shared) / (len(a) + len(b) - len(shared))

@@ -400,7 +400,7 @@ def test_classes_are_those_of_all_pairs(spark, docs, rows):
     for _, text in pairs:
         np.add.at(counts, shingles.counters(shingles.distinct(sketch(text))[0]), 1)
     idf = shingles.rarity(counts, len(pairs))
-    similar = lambda a, b: shingles.weighted_jaccard(a.tobytes(), b.tobytes(), idf) >= 0.8
+    similar = lambda a, b: max(shingles.jaccards(a.tobytes(), b.tobytes(), idf)) >= 0.8
     roots = plain.near_classes([t for _, t in pairs], similar, sketch)
     expected, got = defaultdict(list), defaultdict(list)
     for (i, text), root in zip(pairs, roots):
@@ -433,7 +433,7 @@ def test_samples_agree_as_often_as_texts_are_similar():
         a, b = (shingles.distinct(p) for p in prints)
         drawn = shingles.samples([a[0], b[0]], [a[1], b[1]], idf)
         agreed.append((drawn[0] == drawn[1]).mean())
-        similar.append(shingles.weighted_jaccard(*[p.tobytes() for p in prints], idf))
+        similar.append(shingles.jaccards(*[p.tobytes() for p in prints], idf)[0])
     assert abs(np.mean(agreed) - np.mean(similar)) < 0.02
 
 
