@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from crosswind.llm.common import lookup, row_key
 from crosswind.llm.spans import ROW, Pattern, matched, not_overlapping, placed, report
+from crosswind.operators.joins import fits_broadcast
 from crosswind.session import settle
 
 KINDS = ["email", "ip", "card", "phone"]
@@ -104,6 +105,8 @@ ROUNDS = 30
 SURE = 0.9
 # What every count starts from, so that nothing is ruled out by never having been seen.
 SMOOTH = 0.5
+# Measured size up to which spans are broadcast to the texts.
+SPANS_BYTES = 16 * 1024 * 1024
 
 
 def digits(value: Column) -> Column:
@@ -316,7 +319,9 @@ def masked(text: Column, spans: Column) -> Column:
 def masked_documents(docs: DataFrame) -> DataFrame:
     """The documents with personal data masked and ``n_chars``, if there is one, counted anew."""
     found = find(docs).where(F.size("_spans") > 0).dropDuplicates([ROW])
-    spans = apart(found.select(ROW, F.inline("_spans")))
+    spans = settle(apart(found.select(ROW, F.inline("_spans"))), "spans")
+    # Few texts hold any; while their spans are measured to be small, no text has to move.
+    spans = F.broadcast(spans) if fits_broadcast(spans, SPANS_BYTES) else spans.hint("merge")
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     keyed = docs.select(whole, F.col("doc_id").alias("id"), text.alias("text")).select(
