@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crosswind.llm.common import numbered, ship, text_bytes
+from crosswind.llm.common import numbered, ship, slices, text_bytes
 from crosswind.llm.tokens import default_tokenizer, word_ids
 from crosswind.session import settle
 
@@ -213,7 +213,7 @@ def token_pieces(
 
     def cut(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = word_ids(vocabulary)
-        for batch in stream:
+        for batch in slices(stream):
             out = []
             for doc_id, text in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1))):
                 ids = words.ids(text, end_id)

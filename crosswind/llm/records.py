@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from crosswind.llm.common import lookup, ship, text_bytes
+from crosswind.llm.common import lookup, ship, slices, text_bytes
 from crosswind.llm.tokens import default_tokenizer, word_ids
 
 HEAD = 12
@@ -102,7 +102,7 @@ def write_records(
 
     def encode(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = word_ids(vocabulary)
-        for batch in stream:
+        for batch in slices(stream):
             doc_ids = batch.column(0).to_pylist()
             texts = text_bytes(batch.column(1))
             frames = [frame(d, words.ids(t, end_id)) for d, t in zip(doc_ids, texts)]
