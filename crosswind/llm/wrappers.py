@@ -5,11 +5,12 @@ adverts, comments and the like, which name themselves, are left out at once. The
 trees of a host are aligned with its most frequent one by simple tree matching,
 so a block's slot means the same on all of its pages. A slot that holds the same
 text on most of a host's different pages is template; one whose text varies is
-content.
+content. The smallest element that holds most of the varying text of all pages
+is the host's content slot, and what stands in it on a page is the page's text.
 
-A page that marks its article is taken at its word: all of that article is
-content, be it shared with other pages or not. Only without such a mark does the
-wrapper decide, and links, which content is not made of.
+Inside an ``<article>`` nothing is taken for template: a passage that many
+articles of a host share is still part of each. A page that has no slot for the
+host's content is judged by its own varying text.
 
 Nulls: a null page is an empty one and has no text; pages without a host are a
 host of their own. Rows that repeat give the same text each. An empty table
@@ -19,6 +20,7 @@ gives an empty one. Other columns are not looked at.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -26,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crosswind.llm.common import lookup, ship
+from crosswind.llm.common import lookup, ship, slices
 from crosswind.llm.dom import Block, children_of, matching, parse
 from crosswind.session import settle
 
@@ -38,11 +40,11 @@ MOST = 0.5
 LINKS, HOLDS = 0.5, 0.8
 
 # Elements that only hold others.
-HOLDERS = {"html", "body", "main", "section", "div", "center", "table", "tbody", "tr", "td"}
+HOLDERS = {"html", "body", "main", "article", "section", "div", "center", "table", "tbody", "tr", "td"}
 
 BLOCK = pa.struct([("slot", pa.int32()), ("article", pa.int32()), ("links", pa.int32()), ("text", pa.string())])
 PARSED = "id long, url string, host string, tree string, body string, blocks array<struct<slot int, article int, links int, text string>>"
-SLOTTED = "host string, slot string, text string, body string"
+SLOTTED = "host string, slot string, text string, body string, size long"
 
 
 def mark(text: str) -> str:
@@ -87,77 +89,126 @@ def slot_names(tree: str, reference: str) -> dict[int, str]:
     return names
 
 
-def open_blocks(blocks: list[dict]) -> list[Block]:
-    """Blocks in no article, which the wrapper has to judge."""
-    return [Block(**b) for b in blocks or [] if not b["article"]]
-
-
 def slotted(page: DataFrame) -> DataFrame:
-    """``host, slot, text, body`` of all blocks outside articles; needs ``reference``."""
+    """``host, slot, text, body, size`` of all blocks; needs ``reference``.
+
+    Blocks inside articles cannot be template, so only their size counts: it is
+    summed up here, and their ``text`` is null. Blocks of links have no size.
+    """
 
     def align(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in stream:
-            out = []
+        for batch in slices(stream):
+            out, inside = [], Counter()
             for row in batch.to_pylist():
-                found = open_blocks(row["blocks"])
-                names = slot_names(row["tree"], row["reference"]) if found else {}
-                out += [(row["host"], names[b.slot], mark(b.text), row["body"]) for b in found]
+                names = slot_names(row["tree"], row["reference"])
+                for b in row["blocks"] or []:
+                    size = 0 if b["links"] > LINKS * len(b["text"]) else len(b["text"])
+                    if b["article"]:
+                        inside[row["host"], names[b["slot"]]] += size
+                    else:
+                        out.append((row["host"], names[b["slot"]], mark(b["text"]), row["body"], size))
+            out += [(host, slot, None, None, size) for (host, slot), size in inside.items()]
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*out)], SLOTTED.replace(" string", "").split(", "))
+                kinds = [*[pa.string()] * 4, pa.int64()]
+                arrays = [pa.array(c, k) for c, k in zip(zip(*out), kinds)]
+                yield pa.RecordBatch.from_arrays(arrays, [f.split()[0] for f in SLOTTED.split(", ")])
 
     return page.select("host", "tree", "reference", "body", "blocks").mapInArrow(align, SLOTTED)
 
 
-def templates(blocks: DataFrame) -> DataFrame:
-    """``host, template``: slot and text of all constant nodes of a host.
+def wrappers(blocks: DataFrame) -> DataFrame:
+    """``host, template, sizes``: the constant nodes of a host, and the varying text of its slots.
 
     Pages count by what they say, so copies of one page do not make it a
-    template. A slot has at most 1 / ``MOST`` of them.
+    template. A slot has at most 1 / ``MOST`` constant texts.
     """
-    shown = blocks.distinct()
-    texts = shown.groupBy("host", "slot", "text").agg(F.count(F.lit(1)).alias("n"))
+    shown = blocks.where("text IS NOT NULL").groupBy("host", "slot", "text", "body").agg(F.sum("size").alias("size"))
+    texts = shown.groupBy("host", "slot", "text").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size"))
     slots = shown.select("host", "slot", "body").distinct().groupBy("host", "slot").agg(F.count(F.lit(1)).alias("pages"))
-    constant = texts.join(slots, ["host", "slot"]).where(
-        (F.col("n") >= FEWEST_PAGES) & (F.col("n") >= MOST * F.col("pages"))
+    constant = (F.col("n") >= FEWEST_PAGES) & (F.col("n") >= MOST * F.col("pages"))
+    judged = texts.join(slots, ["host", "slot"]).select(
+        "host",
+        "slot",
+        F.when(constant, F.concat_ws(":", "slot", "text")).alias("constant"),
+        F.when(constant, 0).otherwise(F.col("size")).alias("size"),
+    )
+    within = blocks.where("text IS NULL").select("host", "slot", F.lit(None).cast("string").alias("constant"), "size")
+    by_slot = judged.unionByName(within).groupBy("host", "slot").agg(
+        F.collect_set("constant").alias("constant"), F.sum("size").alias("size")
     )
-    return constant.groupBy("host").agg(F.collect_set(F.concat_ws(":", "slot", "text")).alias("template"))
+    return by_slot.groupBy("host").agg(
+        F.flatten(F.collect_list("constant")).alias("template"),
+        F.array_sort(F.collect_list(F.struct("slot", "size"))).alias("sizes"),
+    )
+
+
+def content_slot(tree: str, held: list[int]) -> int:
+    """The smallest holder with most of the text, given the text of each slot; no deeper than an article."""
+    tags, children = children_of(tree)
+    held = list(held)
+    # Children have higher numbers than their parents.
+    for slot, parent in sorted(((c, p) for p, cs in enumerate(children) for c in cs), reverse=True):
+        held[parent] += held[slot]
+    main = next((s for s, tag in enumerate(tags) if tag == "main" and held[s]), 0)
+    while tags[main] != "article":
+        inner = next(
+            (c for c in children[main] if held[c] >= HOLDS * held[0] and tags[c] in HOLDERS), None
+        )
+        if inner is None or not held[0]:
+            break
+        main = inner
+    return main
+
+
+@lru_cache(maxsize=5_000)
+def host_slot(reference: str, sizes: tuple[tuple[str, int], ...]) -> str:
+    """The content slot of a host, by name. Text of slots beyond the reference counts to the last one in it."""
+    held = [0] * (len(reference.split()) + 1)
+    for name, size in sizes:
+        held[int(name.split("/")[0])] += size
+    return str(content_slot(reference, held))
+
+
+def inside(tree: str, root: int) -> set[int]:
+    """A slot and all slots below it."""
+    _, children = children_of(tree)
+    found, ahead = set(), [root]
+    while ahead:
+        slot = ahead.pop()
+        found.add(slot)
+        ahead += children[slot]
+    return found
 
 
 def content(row: dict) -> str:
     """The main text of one page."""
     blocks = [Block(**b) for b in row["blocks"] or []]
-    sizes: dict[int, int] = {}
-    for b in blocks:
-        if b.article:
-            sizes[b.article] = sizes.get(b.article, 0) + len(b.text)
-    if sizes:
-        longest = max(sizes, key=lambda a: (sizes[a], -a))
-        return " ".join(b.text for b in blocks if b.article == longest)
     if not blocks:
         return ""
     names, template = slot_names(row["tree"], row["reference"]), set(row["template"] or [])
-    varying = [b for b in blocks if f"{names[b.slot]}:{mark(b.text)}" not in template]
-    varying = [b for b in varying if b.links <= LINKS * len(b.text)]
-    tags, children = children_of(row["tree"])
-    held = [0] * len(tags)
-    for b in varying:
-        held[b.slot] += len(b.text)
-    parents = {c: p for p, cs in enumerate(children) for c in cs}
-    total = sum(held)
-    # Children have higher numbers than their parents.
-    for slot in range(len(tags) - 1, 0, -1):
-        held[parents[slot]] += held[slot]
-    main = next((s for s, tag in enumerate(tags) if tag == "main" and held[s]), 0)
-    while True:
-        inner = next((c for c in children[main] if held[c] >= HOLDS * total and tags[c] in HOLDERS), None)
-        if inner is None or not total:
-            break
-        main = inner
-    inside = {main}
-    for slot in range(main + 1, len(tags)):
-        if parents[slot] in inside:
-            inside.add(slot)
-    return " ".join(b.text for b in varying if b.slot in inside)
+    varying = [
+        b
+        for b in blocks
+        if b.article or (b.links <= LINKS * len(b.text) and f"{names[b.slot]}:{mark(b.text)}" not in template)
+    ]
+    wanted = host_slot(row["reference"], tuple((s["slot"], s["size"]) for s in row["sizes"] or []))
+    own = next((slot for slot, name in names.items() if name == wanted), None)
+    chosen = [b for b in varying if b.slot in inside(row["tree"], own)] if own is not None else []
+    marked = [b for b in varying if b.article]
+    if not chosen or (marked and not any(b.article for b in chosen)):
+        held = [0] * len(names)
+        for b in marked or varying:
+            held[b.slot] += len(b.text)
+        within = inside(row["tree"], content_slot(row["tree"], held))
+        chosen = [b for b in varying if b.slot in within]
+    sizes = Counter()
+    for b in chosen:
+        sizes[b.article] += len(b.text)
+    articles = [a for a in sizes if a]
+    if articles:
+        longest = max(articles, key=lambda a: (sizes[a], -a))
+        chosen = [b for b in chosen if b.article == longest]
+    return " ".join(b.text for b in chosen)
 
 
 def main_texts(
@@ -171,16 +222,16 @@ def main_texts(
     )
     hosts = references.count()
     aligned = lookup(rows, references, ["host"], rows=hosts)
-    template = settle(templates(slotted(aligned)), "templates")
-    known = lookup(aligned, template, ["host"], rows=hosts)
+    induced = settle(wrappers(slotted(aligned)), "wrappers")
+    known = lookup(aligned, induced, ["host"], rows=hosts)
 
     def extract(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in stream:
-            texts = [content(row) for row in batch.select(["tree", "reference", "template", "blocks"]).to_pylist()]
+        for batch in slices(stream):
+            texts = [content(row) for row in batch.to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],
                 ["id", "url", "text", "n_chars"],
             )
 
-    chosen = known.select("id", "url", "tree", "reference", "template", "blocks")
+    chosen = known.select("id", "url", "tree", "reference", "template", "sizes", "blocks")
     return chosen.mapInArrow(extract, "id long, url string, text string, n_chars long")
