@@ -99,10 +99,24 @@ def read_note(spark: SparkSession, path: str) -> str | None:
     """The text of a small file, null if there is none."""
     if not path_exists(spark, path):
         return None
-    java = spark._jvm.java
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).open(target)
-    reader = java.io.BufferedReader(java.io.InputStreamReader(stream, "UTF-8"))
+    reader = _reader(spark, path)
     lines = list(iter(reader.readLine, None))
     reader.close()
     return "\n".join(lines)
+
+
+def first_line(spark: SparkSession, path: str) -> str | None:
+    """The first line of a text file, compressed or not; null if it is empty. Runs no job."""
+    reader = _reader(spark, path)
+    line = reader.readLine()
+    reader.close()
+    return line
+
+
+def _reader(spark: SparkSession, path: str):
+    java, hadoop = spark._jvm.java, spark._jvm.org.apache.hadoop
+    target, conf = hadoop.fs.Path(path), spark._jsc.hadoopConfiguration()
+    stream = target.getFileSystem(conf).open(target)
+    codec = hadoop.io.compress.CompressionCodecFactory(conf).getCodec(target)
+    stream = codec.createInputStream(stream) if codec else stream
+    return java.io.BufferedReader(java.io.InputStreamReader(stream, "UTF-8"))

@@ -8,7 +8,7 @@ from pyspark.sql.types import IntegerType, LongType, StringType, StructType
 
 from crosswind.operators.unions import union_files
 from crosswind.schemas import AIRPORTS, CARRIERS, FLIGHTS, RAW_FLIGHTS, WEATHER, WHITELIST
-from crosswind.session import children, leaf_files
+from crosswind.session import children, first_line, leaf_files
 
 POSITION = "_position"
 # Stands for null while reading, so that an empty text in quotes stays one.
@@ -41,9 +41,9 @@ def read_text_columns(spark: SparkSession, path: str, *, multiline: bool = False
     """
     by_header: dict[str, list[str]] = {}
     for file in leaf_files(spark, path):
-        first = spark.read.text(file).first()
-        if first is not None:
-            by_header.setdefault(first[0], []).append(file)
+        header = first_line(spark, file)
+        if header is not None:
+            by_header.setdefault(header, []).append(file)
     groups = [[path]] if len(by_header) < 2 else list(by_header.values())
     frames = [
         spark.read.csv(

@@ -261,3 +261,12 @@ def test_rows_of_ordinary_html(spark, table, row):
     pages = spark.createDataFrame([(1, table.format(rows=rows))], "page_id long, html string")
     out = [(r.iata, r.icao, r.name) for r in html_rows(pages).orderBy("row_no").collect()]
     assert out == [("AA", "x", "América – 'x' &lt; &unknown; ©"), ("BB", "x", "B")]
+
+
+def test_headers_of_compressed_files(spark, tmp_path):
+    import gzip
+
+    kinds = StructType([StructField(c, StringType()) for c in ("ORIGIN", "DEST")])
+    for name, text in {"a.csv.gz": "ORIGIN,DEST\nJFK,ORD\n", "b.csv.gz": "DEST,ORIGIN\nATL,LAX\n"}.items():
+        (tmp_path / name).write_bytes(gzip.compress(text.encode()))
+    assert sorted(map(tuple, read_table(spark, str(tmp_path), kinds).collect())) == [("JFK", "ORD"), ("LAX", "ATL")]
