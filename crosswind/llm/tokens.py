@@ -47,7 +47,6 @@ class WordIds(dict):
         self.letters = byte_letters()
         if sys.byteorder != "little" or array("I").itemsize != 4:
             raise RuntimeError("ids are kept as little-endian 32-bit numbers")
-        self.stems: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
@@ -57,26 +56,19 @@ class WordIds(dict):
         letters = text if text.isascii() else text.encode().decode("latin-1").translate(self.letters)
         return array("I", [token.id for token in self.model.tokenize(letters)]).tobytes()
 
-    def stem(self, text: str) -> bytes:
-        plain = text.isascii() or not AFAR.search(text)
-        plain = plain and text.isalpha()
-        text = text.lower() if plain else text
-        ids = self.stems.get(text)
-        if ids is None:
-            if len(self.stems) >= KEPT:
-                self.stems.clear()
-            ids = self.merged(text) if plain else self.whole(text)
-            if len(text) <= 64:
-                self.stems[text] = ids
-        return ids
-
     def __missing__(self, word: bytes) -> bytes:
         text = word.decode("utf-8", "replace")
         stem = text.rstrip(MARKS)
-        if len(stem) < len(text) and stem.isalpha():
-            ids = self.stem(stem) + self.stem(text[len(stem) :])
+        tail = text[len(stem) :]
+        if not stem.isalpha():
+            ids = self.whole(text)
+        elif not (stem.isascii() or not AFAR.search(stem)):
+            ids = self[stem.encode()] + self[tail.encode()] if tail else self.whole(text)
+        elif tail or stem != stem.lower():
+            # The word itself is kept once, in lower case and without marks.
+            ids = self[stem.lower().encode()] + (self[tail.encode()] if tail else b"")
         else:
-            ids = self.stem(text)
+            ids = self.merged(text)
         if len(self) >= KEPT:
             self.clear()
         if len(word) <= 64:
