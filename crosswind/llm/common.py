@@ -125,6 +125,8 @@ def slices(stream: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.Re
     for batch in stream:
         for start in range(0, batch.num_rows, rows):
             yield batch.slice(start, rows)
+    # An idle worker should not keep what it no longer needs.
+    pa.default_memory_pool().release_unused()
 
 
 __all__ = ["BROADCAST_BYTES", "lookup", "numbered", "row_key", "ship", "slices", "text_bytes"]
