@@ -7,13 +7,16 @@
    together into bands.
 3. Equal texts are one from here on. Texts that share a band are compared, not
    each with each: the first of a band with all others, then those whose classes
-   are still apart with further ones, in small bands all of them. A pair counts if its weighted Jaccard similarity, over all
+   are still apart with further ones, in small bands all of them. What is then
+   still apart in a larger band is compared in full, all of it in cells of
+   bounded size. A pair counts if its weighted Jaccard similarity, over all
    shingles, is at least 0.8; a pair just below it only for its weights, that
    is at 0.8 with every distinct shingle counted once, counts too.
 4. Connected texts form a class.
 
-Copies are never expanded into pairs, and no task holds a band's members at
-once: a band's first member is a minimum, taken where the rows are.
+So the classes are those of all similar pairs that share a band. Copies are
+never expanded into pairs, and no task holds a band's members at once: a band's
+first member is a minimum, taken where the rows are.
 
 Nulls: a null text is an empty one. Texts that are equal, empty ones too, are in
 one class; a text without words is otherwise alone. Fewer than five words make
@@ -33,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from crosswind.llm import shingles
-from crosswind.llm.common import ship, slices, text_bytes
+from crosswind.llm.common import LOOKUP_ROWS, ship, slices, text_bytes
 from crosswind.session import settle
 
 SIMILAR = 0.8
@@ -41,6 +44,8 @@ SIMILAR = 0.8
 SLICE = 1 << 14
 # Bands with at most this many texts still apart have all of them compared.
 FEW = 6
+# Texts on either side of a cell, in which all of one side meet all of the other.
+SIDE = 256
 
 
 def counted(texts: DataFrame) -> np.ndarray:
@@ -148,7 +153,8 @@ def further_pairs(shared: DataFrame, roots: DataFrame, tried: DataFrame) -> Data
     """Pairs within a band whose classes are still apart and that were not compared yet.
 
     Few members: all pairs. More: each with several others, two picked among the
-    members and two among the classes, so small classes are picked as well.
+    members and two among the classes, so small classes are picked as well;
+    ``apart_pairs`` sees to the rest.
     """
     members = shared.join(roots, shared.rid == roots.node, "left").select(
         "band", "rid", F.coalesce("root", "rid").alias("root")
@@ -171,6 +177,46 @@ def further_pairs(shared: DataFrame, roots: DataFrame, tried: DataFrame) -> Data
     return both.distinct().join(tried, ["a", "b"], "left_anti")
 
 
+def apart_pairs(crowded: DataFrame, roots: DataFrame, prints: DataFrame, idf, least: float) -> DataFrame | None:
+    """All similar pairs ``a, b`` within ``crowded`` bands whose classes are still apart, one for each text and class.
+
+    Of two classes one is not the band's largest, so only texts outside the
+    largest are put against all members. Both sides are cut into pieces, and a
+    cell holds one piece of each: no task gets a whole band, and a text's
+    shingles travel once to a cell, not once to a pair.
+    """
+    members = crowded.join(roots, crowded.rid == roots.node, "left").select("band", "rid", F.coalesce("root", "rid").alias("root"))
+    by_class = members.groupBy("band", "root").agg(F.count(F.lit(1)).alias("n"))
+    spread = by_class.groupBy("band").agg(
+        F.max_by("root", F.struct("n", "root")).alias("major"), F.max("n").alias("most"), F.sum("n").alias("n")
+    ).where("most < n")
+    cuts = spread.select("band", "major", F.ceil((F.col("n") - F.col("most")) / SIDE).alias("rows"), F.ceil(F.col("n") / SIDE).alias("columns"))
+    met = members.join(cuts, "band")
+    place = F.xxhash64("rid", "band")
+    left = met.where("root != major").select(
+        "band", F.pmod(place, "rows").alias("i"), F.explode(F.sequence(F.lit(0), F.col("columns") - 1)).alias("j"), F.lit(True).alias("left"), "rid", "root"
+    )
+    right = met.select(
+        "band", F.explode(F.sequence(F.lit(0), F.col("rows") - 1)).alias("i"), F.pmod(place, "columns").alias("j"), F.lit(False).alias("left"), "rid", "root"
+    )
+    cells = settle(left.unionAll(right), "cells")
+    wanted = settle(cells.select("rid").distinct(), "wanted")
+    count = wanted.count()
+    if not count:
+        return None
+    few = F.broadcast(wanted) if count <= LOOKUP_ROWS else wanted.hint("merge")
+    rows = cells.hint("merge").join(prints.join(few, "rid", "left_semi"), "rid")
+
+    def compare(cell: pa.Table) -> pa.Table:
+        sides: dict[bool, list] = {True: [], False: []}
+        for side, *text in zip(*(cell.column(c).to_pylist() for c in ("left", "rid", "root", "prints"))):
+            sides[side].append(text)
+        found = shingles.linked(sides[True], sides[False], np.frombuffer(idf.value, "<f4"), least) if sides[True] and sides[False] else []
+        return pa.table([pa.array([ab[i] for ab in found], pa.int64()) for i in (0, 1)], ["a", "b"])
+
+    return rows.groupBy("band", "i", "j").applyInArrow(compare, "a long, b long")
+
+
 def classes(
     docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", least: float = SIMILAR
 ) -> DataFrame:
@@ -197,7 +243,7 @@ def classes(
         table.join(heads.select("rid"), "rid", "left_semi").select("rid", F.explode("bands").alias("band")), "bands"
     )
     firsts = bands.groupBy("band").agg(F.min("rid").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = settle(bands.join(firsts.drop("n"), "band"), "shared-bands")
+    shared = settle(bands.join(firsts, "band"), "shared-bands")
     # From here on only shingles of texts that share a band travel. One way at any size.
     wanted = shared.select("rid").distinct().hint("merge")
     prints = settle(table.select("rid", "prints").join(wanted, "rid", "left_semi"), "prints")
@@ -205,10 +251,17 @@ def classes(
     tried = settle(first_pairs.distinct(), "pairs")
     edges = settle(compared(tried, prints, idf, least), "similar")
     roots = connected(edges)
-    fresh = settle(compared(further_pairs(shared, roots, tried), prints, idf, least), "similar")
-    if not fresh.isEmpty():
-        # Classes found so far stay together; only their roots are joined anew.
-        roots = connected(roots.select(F.col("root").alias("a"), F.col("node").alias("b")).unionAll(fresh))
+    for last in (False, True):
+        if last:
+            fresh = apart_pairs(shared.where(F.col("n") > FEW).select("band", "rid"), roots, prints, idf, least)
+            if fresh is None:
+                break
+        else:
+            fresh = compared(further_pairs(shared.drop("n"), roots, tried), prints, idf, least)
+        fresh = settle(fresh, "similar")
+        if not fresh.isEmpty():
+            # Classes found so far stay together; only their roots are joined anew.
+            roots = connected(roots.select(F.col("root").alias("a"), F.col("node").alias("b")).unionAll(fresh))
     rooted = heads.join(roots, heads.rid == roots.node, "left").select(
         "digest", "least_id", "copies", F.coalesce("root", "rid").alias("root")
     )

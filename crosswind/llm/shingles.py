@@ -165,3 +165,37 @@ def jaccards(left: bytes, right: bytes, idf: np.ndarray) -> tuple[float, float]:
     less = float((np.minimum(n[i], m[j]) * idf[counters(shared)].astype(float)).sum())
     whole = float((n * idf[counters(a)].astype(float)).sum() + (m * idf[counters(b)].astype(float)).sum())
     return less / (whole - less), len(shared) / (len(a) + len(b) - len(shared))
+
+
+def linked(left: list[tuple[int, int, bytes]], right: list[tuple[int, int, bytes]], idf: np.ndarray, least: float) -> list[tuple[int, int]]:
+    """Of texts ``(rid, root, prints)``, pairs that are similar and differ in ``root``, one for each left text and right root.
+
+    Every left text is measured against all right ones at once, over an index of
+    the right ones' shingles; ``jaccards`` has the last word.
+    """
+    each = [distinct(np.frombuffer(prints, "<u4")) for *_, prints in right]
+    owner = np.repeat(np.arange(len(right)), [len(a) for a, _ in each])
+    flat, times = (np.concatenate(part) for part in zip(*each))
+    size = np.array([len(a) for a, _ in each])
+    weight = np.bincount(owner, times * idf[counters(flat)].astype(float), minlength=len(right))
+    order = np.argsort(flat, kind="stable")
+    flat, owner, times = flat[order], owner[order], times[order]
+    roots = np.array([root for _, root, _ in right])
+    found = []
+    for rid, root, prints in left:
+        a, n = distinct(np.frombuffer(prints, "<u4"))
+        own = idf[counters(a)].astype(float)
+        low = np.searchsorted(flat, a, "left")
+        held = np.searchsorted(flat, a, "right") - low
+        which = np.repeat(np.arange(len(a)), held)
+        at = np.arange(len(which)) + np.repeat(low - np.r_[0, np.cumsum(held)[:-1]][: len(a)], held)
+        less = np.bincount(owner[at], np.minimum(n[which], times[at]) * own[which], minlength=len(right))
+        shared = np.bincount(owner[at], minlength=len(right))
+        whole = float((n * own).sum()) + weight - less
+        likely = (less >= (least - 1e-6) * whole) | (shared >= (least - 1e-6) * (len(a) + size - shared))
+        met = set()
+        for i in np.flatnonzero(likely & (roots != root)).tolist():
+            if right[i][1] not in met and max(jaccards(prints, right[i][2], idf)) >= least:
+                met.add(right[i][1])
+                found.append((rid, right[i][0]))
+    return found

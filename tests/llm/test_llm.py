@@ -415,6 +415,52 @@ def test_classes_are_those_of_all_pairs(spark, docs, rows):
     assert kept.columns == ["doc_id", "text"]
 
 
+def hub_families() -> list[tuple[int, str]]:
+    """Copies that are each close to a common original but not to each other; the original is in the middle."""
+    rng = random.Random(7)
+    word = lambda: f"w{rng.randint(0, 10**9)}"
+    rows = []
+    for family in range(6):
+        base = [word() for _ in range(404)]
+        copies = []
+        for _ in range(120):
+            copy = base[:]
+            for at in rng.sample(range(5, 400), 7):
+                copy[at] = word()
+            copies.append(copy)
+        copies.insert(60, base)
+        rows += [(1_000 * family + i, " ".join(copy)) for i, copy in enumerate(copies)]
+    return rows
+
+
+def test_large_bands_miss_no_link(spark):
+    rows = hub_families()
+    prints = [shingles.fingerprints(shingles.shingle_hashes(text.encode())) for _, text in rows]
+    each = [shingles.distinct(p) for p in prints]
+    counts = np.zeros(shingles.COUNTERS, np.int64)
+    for a, _ in each:
+        np.add.at(counts, shingles.counters(a), 1)
+    idf = shingles.rarity(counts, len(rows))
+    bands = shingles.band_keys(shingles.samples(*map(list, zip(*each)), idf))
+    parent = list(range(len(rows)))
+
+    def root(x: int) -> int:
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for j in range(len(rows)):
+        for i in np.flatnonzero((bands[:j] == bands[j]).any(1)).tolist():
+            if root(i) != root(j) and max(shingles.jaccards(prints[i].tobytes(), prints[j].tobytes(), idf)) >= 0.8:
+                parent[root(j)] = root(i)
+    expected, got = defaultdict(set), defaultdict(set)
+    for at, (i, _) in enumerate(rows):
+        expected[root(at)].add(i)
+    for r in dedup.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        got[r["class_id"]].add(r["id"])
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, expected.values()))
+
+
 def test_first_of_each_keeps_columns(docs, empty):
     assert dedup.first_of_each(docs).columns == docs.columns
     assert dedup.first_of_each(empty).collect() == []
