@@ -5,7 +5,9 @@ lines that repeat an earlier one, its words in passages that repeat. Two fixed
 rules hold everywhere (``base_failed``). The other rules have no fixed cutoff:
 quantile sketches of each measure are built per language and source, merged
 where a source is too small to speak for itself, and a text is rejected when it
-lies far outside of what its own group shows.
+lies far outside of what its own group shows, and for symbols and repeated lines
+of what the lower part of it shows, so that a source full of junk does not set
+its own limit.
 
 Nulls: a null text has no words, so it fails the fixed rules; null languages and
 sources are groups like others. Rows that repeat are judged alike. A text
@@ -43,6 +45,11 @@ MEASURES = StructType([StructField(name, LongType()) for name in COUNTS])
 SPREADS = {"symbol_rate": 0.01, "dup_line_rate": 0.05, "word_length": 0.5}
 # How many spreads above the median, or below it, a text may lie.
 REACH = 8.0
+# Rates that junk only raises. Their limit is also held against the lower part of
+# the texts, which junk reaches only beyond three quarters of a group: so many
+# times the way from the tenth to the lower quartile, which is about REACH for a
+# bell-shaped rate, above the lower quartile.
+RAISED, LOWER_REACH = ["symbol_rate", "dup_line_rate"], 10.0
 
 
 def repeated_words(words: list[bytes], width: int = WINDOW) -> int:
@@ -150,6 +157,14 @@ def thresholds(texts: DataFrame) -> DataFrame:
         sketch = F.when(enough, F.col(name)).when(lang_enough, F.col(f"_lang_{name}")).otherwise(F.col(f"_all_{name}"))
         low, middle, high = (F.kll_sketch_get_quantile_double(sketch, F.lit(q)) for q in (0.25, 0.5, 0.75))
         above = middle + REACH * F.greatest(high - middle, F.lit(SPREADS[name]))
+        if name in RAISED:
+            # The group's lower part or its language's, whichever allows more.
+            lang = F.when(lang_enough, F.col(f"_lang_{name}")).otherwise(F.col(f"_all_{name}"))
+            lower = []
+            for each in (sketch, lang):
+                tenth, quarter = (F.kll_sketch_get_quantile_double(each, F.lit(q)) for q in (0.1, 0.25))
+                lower.append(quarter + LOWER_REACH * F.greatest(quarter - tenth, F.lit(SPREADS[name])))
+            above = F.least(above, F.greatest(*lower))
         below = middle - REACH * F.greatest(middle - low, F.lit(SPREADS[name]))
         limits += [F.round(above, 3).alias(f"{name}_high"), F.round(below, 3).alias(f"{name}_low")]
     return joined.select("lang", "source", "n", *limits)

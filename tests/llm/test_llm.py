@@ -281,6 +281,23 @@ def test_thresholds_follow_the_group(spark):
     assert sum(not k for i, k in kept.items() if i < 5000) == 0
 
 
+@pytest.mark.parametrize("share", [0.3, 0.45, 0.6])
+def test_junk_does_not_set_its_own_limit(spark, share):
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(5))
+    marked = lambda: " ".join(word() + "##" for _ in range(60))
+    lines = lambda same: "\n".join([" ".join(word() for _ in range(4))] * same + [" ".join(word() for _ in range(4)) for _ in range(20 - same)])
+    rows, junk = [], set()
+    for source, bad in (("marks", marked), ("lines", lambda: lines(2))):
+        for _ in range(400):
+            spoilt = rng.random() < share
+            junk |= {len(rows)} if spoilt and source == "marks" else set()
+            rows.append((len(rows), bad() if spoilt else lines(1), "en", source))
+    out = quality.judged(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"))
+    kept = {r["doc_id"]: r["_kept"] for r in out.select("_doc.doc_id", "_kept").collect()}
+    assert {i for i, k in kept.items() if not k} == junk
+
+
 def test_quality_of_nothing(empty):
     assert quality.kept_documents(empty).collect() == []
 
