@@ -24,8 +24,8 @@ from crosswind.session import settle
 KINDS = ["assign", "access", "hex"]
 # Code points on both sides of a part that belong to its scope.
 SCOPE = 256
-# Least number of different characters of a string that may be random.
-VARIED = 10
+# Least number of different characters of a string that may be random, by its alphabet.
+VARIED = {"random": 10, "short_hex": 6}
 
 # The patterns of certain spans; letters of the names in either case.
 ASSIGN = (
@@ -41,7 +41,7 @@ PATTERNS = [
     Pattern(
         "random",
         "secret",
-        r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z0-9+/_-]{0,63}[0-9])(?=[A-Za-z0-9+/_-]{0,63}[A-Z])(?=[A-Za-z0-9+/_-]{0,63}[a-z])[A-Za-z0-9+/_-]{20,64}+={0,2}(?![A-Za-z0-9+/_=-])",
+        r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])(?=[a-z0-9+/_-]*+[A-Z])(?=[A-Z0-9+/_-]*+[a-z])[A-Za-z0-9+/_-]{20,}+={0,2}(?![A-Za-z0-9+/_=-])",
         "[A-Za-z0-9+/_-]{20}",
     ),
     Pattern(
@@ -53,7 +53,7 @@ PATTERNS = [
     Pattern(
         "user",
         "identifier",
-        r"""(?<![A-Za-z])(?i:user(?:_?name|_?id)?|login|account(?:_?id)?|client_?id|access_?key(?:_?id)?)["']?\x20*[:=]\x20*["']?[A-Za-z0-9@._+-]{2,64}""",
+        r"""(?<![A-Za-z])(?i:user(?:_?name|_?id)?|login|account(?:_?(?:id|name))?|client_?id|access_?key(?:_?id)?)["']?\x20*[:=]\x20*["']?[A-Za-z0-9@._+-]{2,64}""",
         "[:=]",
     ),
     Pattern("key_id", "identifier", "(?<![A-Z0-9])(?:ASIA|AROA|AIDA)[A-Z0-9]{16}+(?![A-Z0-9])", "A[SRI][IOD]A[A-Z0-9]{16}"),
@@ -109,7 +109,8 @@ def in_scope_of(parts: DataFrame, others: DataFrame, scope: int = SCOPE) -> Data
 def find(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", scope: int = SCOPE) -> DataFrame:
     """``id, _row, n_<kind>…, base_sha256, spans, _spans`` of every document."""
     found = matched(docs, PATTERNS, id_column=id_column, text_column=text_column)
-    varied = F.size(F.array_distinct(F.split("match", ""))) >= VARIED
+    different = F.size(F.array_distinct(F.split("match", "")))
+    varied = different >= F.when(F.col("name") == "short_hex", VARIED["short_hex"]).otherwise(VARIED["random"])
     role = F.col("kind")
     for kind, name in ROLES.items():
         role = F.when(F.col("kind") == kind, name).otherwise(role)

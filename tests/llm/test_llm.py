@@ -392,6 +392,22 @@ def test_weak_parts_need_their_complements(spark):
     assert out == {0: ["identifier", "endpoint", "secret"], 1: [], 2: [], 3: ["access", "secret"], 4: []}
 
 
+def test_weak_secrets_of_any_length(spark):
+    rng = random.Random(8)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    long = lambda n: "aB3" + "".join(rng.choice(letters) for _ in range(n - 3))
+    late = "q" * 70 + long(30)
+    keys = [long(86) + "==", long(300), late, "0123a4a3a2a1a0a1", "0000000000000a00"]
+    texts = [f"AccountName=store;AccountKey={keys[0]};Endpoint=https://store.example.org/"]
+    texts += [f"user=bob key {key} end" for key in keys[1:]] + [f"lonely {keys[0]} here"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    spans = {r["id"]: r["spans"] for r in secrets.find(frame).collect()}
+    for i, key in enumerate(keys[:4]):
+        start = texts[i].index(key)
+        assert f"secret:{start}:{start + len(key)}" in spans[i].split(",")
+    assert "secret" not in spans[4] and spans[5] == ""
+
+
 # 3: near-duplicates
 
 
