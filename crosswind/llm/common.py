@@ -7,7 +7,9 @@ import zipfile
 from collections.abc import Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -129,4 +131,18 @@ def slices(stream: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.Re
     pa.default_memory_pool().release_unused()
 
 
-__all__ = ["BROADCAST_BYTES", "lookup", "numbered", "row_key", "ship", "slices", "text_bytes"]
+def byte_slices(stream: Iterator[pa.RecordBatch], limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """Batches in pieces of about ``limit`` bytes of text, a longer text by itself."""
+    for batch in stream:
+        texts = [c for c in batch.columns if pa.types.is_string(c.type) or pa.types.is_large_string(c.type)]
+        sizes = sum((np.asarray(pc.binary_length(c).fill_null(0)).astype("i8") for c in texts), np.zeros(batch.num_rows, "i8"))
+        ends, start = sizes.cumsum(), 0
+        while start < batch.num_rows:
+            before = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, before + limit, "right")))
+            yield batch.slice(start, stop - start)
+            start = stop
+    pa.default_memory_pool().release_unused()
+
+
+__all__ = ["BROADCAST_BYTES", "byte_slices", "lookup", "numbered", "row_key", "ship", "slices", "text_bytes"]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crosswind.llm import dedup, forest, mixing, packing, pii, quality, records, secrets, sharding, wrappers
+from crosswind.llm import dedup, forest, mixing, packing, pii, quality, records, secrets, sharding, warc, wrappers
 from crosswind.session import scratch_path, settle
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,7 +88,35 @@ def op10_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_packed_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "packages")
+    warc.write_packages(table(spark, sf_dir, "pages"), path)
+    return warc.scan_packages(spark, path).select(
+        F.col("id").cast("long").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        F.col("kind").alias("record_type"),
+        F.col("refers_to").cast("long").alias("refers_to"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     name: function for name, function in list(globals().items()) if name.startswith("op")
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op11_packed_archives": """
+        WITH paged AS (
+            SELECT page_id, coalesce(html, '') AS html,
+                   max(page_id) OVER (PARTITION BY coalesce(html, '')) AS first
+            FROM pages
+        )
+        SELECT page_id, strlen(html) AS payload_bytes,
+               array_to_string([substr(
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                   1 + (((('0x' || substr(sha1(html), 1 + 5 * (i // 4), 5))::BIGINT) >> (15 - 5 * (i % 4))) & 31)::INT,
+                   1) FOR i IN range(32)], '') AS payload_digest,
+               CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
+        FROM paged
+    """,
+}
