@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crosswind.llm import dedup, forest, mixing, packing, pii, quality, records, secrets, sharding, warc, wrappers
+from crosswind.llm import dedup, forest, mixing, packing, pii, quality, records, runs, secrets, sharding, warc, wrappers
 from crosswind.session import scratch_path, settle
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -100,6 +100,43 @@ def op11_packed_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """Documents of which a tenth, told by their id, go on in a period from some word on."""
+    number = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    rest = F.floor(number / 10)
+    found = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    worded = docs.select(
+        "doc_id", "text", rest.alias("g"), F.when(number % 10 == 0, found).alias("words")
+    ).withColumn("n", F.greatest(F.size("words"), F.lit(1)))
+    a = (F.col("g") % F.col("n")).cast("int")
+    p = (1 + F.floor((F.col("n") - a) / (3 + F.col("g") % 8))).cast("int")
+    placed = worded.withColumns({"a": a, "p": p})
+    block = F.slice("words", F.col("a") + 1, F.col("p"))
+    times = F.ceil((F.col("n") - F.col("a")) / F.col("p")).cast("int")
+    tail = F.slice(F.flatten(F.array_repeat(block, times)), F.lit(1), F.col("n") - F.col("a"))
+    changed = F.array_join(F.concat(F.slice("words", F.lit(1), F.col("a")), tail), " ")
+    return placed.select("doc_id", F.when(F.size("words") > 0, changed).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.periodic_runs(with_planted_periods(table(spark, sf_dir, "documents")))
+    listed = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    # The greatest run; of equal ones that which starts first, then that of the smallest period.
+    ranked = F.transform(
+        "runs", lambda r: F.struct(r["length"], (-r["start"]).alias("early"), (-r["period"]).alias("short"))
+    )
+    return found.withColumn("best", F.array_max(ranked)).select(
+        F.col("id").alias("doc_id"),
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.early")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.short")).alias("period"),
+        F.expr("(1000 * best.length) div (-best.short)").alias("exponent_milli"),
+        F.sha2(F.concat(F.array_join(listed, "\n"), F.when(F.size("runs") > 0, "\n").otherwise("")), 256).alias("runs_sha256"),
+        F.sha2("text", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     name: function for name, function in list(globals().items()) if name.startswith("op")
 }
