@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crosswind.llm import dedup, forest, mixing, packing, pii, quality, records, runs, secrets, sharding, warc, wrappers
+from crosswind.llm import dedup, forest, mixing, packing, phrases, pii, quality, records, runs, secrets, sharding, warc, wrappers
 from crosswind.session import scratch_path, settle
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -137,6 +137,10 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     name: function for name, function in list(globals().items()) if name.startswith("op")
 }
@@ -156,4 +160,49 @@ ORACLES: dict[str, str] = {
                CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
         FROM paged
     """,
+    "op13_phrase_collocations": r"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents
+        ), worded AS (
+            SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+        ), places AS (
+            SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM worded
+        ), counts AS (
+            SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*)::HUGEINT AS f
+            FROM places, range(1, 5) AS t(k)
+            WHERE i + k - 1 <= len(w)
+            GROUP BY ALL
+        ), totals AS (
+            SELECT lang, sum(f) AS n FROM counts WHERE k = 1 GROUP BY lang
+        ), candidates AS (
+            SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE k > 1 AND f >= 30
+        ), inner_parts AS (
+            SELECT lang, a, w, k, m, unnest(range(1, k - m + 2)) AS i
+            FROM candidates, range(2, 4) AS t(m) WHERE m < k
+        ), covered AS (
+            SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, max(a) AS longest
+            FROM inner_parts GROUP BY ALL
+        ), kept AS (
+            SELECT c.* FROM candidates c LEFT JOIN covered v ON c.lang = v.lang AND c.phrase = v.phrase
+            WHERE v.longest IS NULL OR 100 * v.longest < 80 * c.a
+        ), cuts AS (
+            SELECT lang, phrase, a, w, k, unnest(range(1, k)) AS c FROM kept
+        ), scored AS (
+            SELECT cuts.lang, cuts.phrase, a, c, x.f AS l, y.f AS r, (2000000 * a) // (x.f + y.f) AS score,
+                   row_number() OVER (PARTITION BY cuts.lang, cuts.phrase
+                                      ORDER BY (2000000 * a) // (x.f + y.f), c) AS place
+            FROM cuts
+            JOIN counts x ON x.lang = cuts.lang AND x.phrase = array_to_string(w[1:c], ' ')
+            JOIN counts y ON y.lang = cuts.lang AND y.phrase = array_to_string(w[c + 1:], ' ')
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+            FROM scored WHERE place = 1
+        )
+        SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r,
+               n::BIGINT AS n, score::BIGINT AS score
+        FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+    """,
 }
