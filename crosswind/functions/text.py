@@ -77,3 +77,9 @@ def visible_text(html: Column) -> Column:
     """Text of a fragment: tags dropped, references decoded once, ends stripped."""
     text = F.regexp_replace(html, r"(?s)<!--.*?-->|<[^>]*>", "")
     return F.regexp_replace(replaced(text, REFERENCE, character, "&"), r"^[\s\u00a0]+|[\s\u00a0]+$", "")
+
+
+def unescaped(path: Column) -> Column:
+    """Part of a path with its percent signs decoded; one that is not encoded stays as it is."""
+    kept = F.replace(path, F.lit("+"), F.lit("%2B"))
+    return F.coalesce(F.try_url_decode(kept), path)

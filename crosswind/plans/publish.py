@@ -20,7 +20,7 @@ from crosswind.plans.joined import joined_table
 from crosswind.plans.measures import measures_by_locale, measures_by_time, star_plus
 from crosswind.plans.weather import collect_weather
 from crosswind.schemas import AIRPORTS, HOURLY, PLACES, STATIONS
-from crosswind.session import file_marks, session
+from crosswind.session import files_mark, session
 from crosswind.sinks.catalog import publish_view, replace_table_as
 from crosswind.sinks.files import (
     load_or_build,
@@ -66,7 +66,7 @@ def publish(
     listed = scan_whitelist(spark, whitelist)
 
     def recipe(*inputs: str | None, **parameters) -> str:
-        marks = [file_marks(spark, path) for path in inputs if path]
+        marks = [files_mark(spark, path) for path in inputs if path]
         return json.dumps([marks, parameters], sort_keys=True)
 
     made_airports = recipe(airports, whitelist, places)

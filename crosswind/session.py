@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # AQE picks join sides and partition counts at run time and splits partitions
 # that stay too large; the shuffle partition count is left to the cluster.
@@ -60,13 +61,10 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
-def leaf_files(spark: SparkSession, path: str) -> list[str]:
-    """The data files at or below a path, hidden ones left out, in name order."""
+def file_scheme(spark: SparkSession, path: str) -> str:
+    """The kind of file system a path is on, the session's own where the path does not say."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not system.getFileStatus(target).isDirectory():
-        return [path]
-    return [file for child in children(spark, path) for file in leaf_files(spark, child)]
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).getUri().getScheme()
 
 
 def children(spark: SparkSession, directory: str) -> list[str]:
@@ -77,14 +75,17 @@ def children(spark: SparkSession, directory: str) -> list[str]:
     return sorted(p for p in paths if p.rsplit("/", 1)[-1][0] not in "._")
 
 
-def file_marks(spark: SparkSession, path: str) -> list[str]:
-    """Name, size and time of every data file at or below a path."""
-    marks = []
-    for file in leaf_files(spark, path):
-        target = spark._jvm.org.apache.hadoop.fs.Path(file)
-        status = target.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(target)
-        marks.append(f"{file} {status.getLen()} {status.getModificationTime()}")
-    return marks
+def files_mark(spark: SparkSession, path: str) -> str:
+    """What tells the data files at or below a path from others: number, bytes, and a digest of names, sizes and times.
+
+    One aggregate over Spark's listing, whatever the number of files; no file is opened.
+    """
+    listed = spark.read.format("binaryFile").load(path, recursiveFileLookup=True)
+    digest = F.xxhash64("path", "length", "modificationTime")
+    row = listed.agg(
+        F.count(F.lit(1)), F.coalesce(F.sum("length"), F.lit(0)), F.bit_xor(digest), F.sum(digest.cast("decimal(38,0)"))
+    ).first()
+    return " ".join(map(str, (path, *row)))
 
 
 def write_note(spark: SparkSession, path: str, text: str) -> None:
@@ -105,14 +106,6 @@ def read_note(spark: SparkSession, path: str) -> str | None:
     return "\n".join(lines)
 
 
-def first_line(spark: SparkSession, path: str) -> str | None:
-    """The first line of a text file, compressed or not; null if it is empty. Runs no job."""
-    reader = _reader(spark, path)
-    line = reader.readLine()
-    reader.close()
-    return line
-
-
 def _reader(spark: SparkSession, path: str):
     java, hadoop = spark._jvm.java, spark._jvm.org.apache.hadoop
     target, conf = hadoop.fs.Path(path), spark._jsc.hadoopConfiguration()

@@ -2,17 +2,27 @@
 
 from __future__ import annotations
 
+import csv
+import re
+from collections import Counter
+from collections.abc import Callable, Iterable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType, StringType, StructType
+from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
-from crosswind.operators.unions import union_files
+from crosswind.functions.text import unescaped
+from crosswind.operators.joins import lookup_join
 from crosswind.schemas import AIRPORTS, CARRIERS, FLIGHTS, RAW_FLIGHTS, WEATHER, WHITELIST
-from crosswind.session import children, first_line, leaf_files
+from crosswind.session import children, file_scheme, scratch_path
 
 POSITION = "_position"
 # Stands for null while reading, so that an empty text in quotes stays one.
 NO_VALUE = "\0"
+# Files up to this size are read whole to find their headers.
+SMALL_FILE = 4 * 1024 * 1024
+# File systems on which tasks open files by themselves.
+OPENED_SCHEMES = ("file", "hdfs", "s3", "s3a", "gs", "abfs", "abfss")
 
 
 def typed(name: str, data_type) -> Column:
@@ -31,34 +41,161 @@ def typed(name: str, data_type) -> Column:
     return text.try_cast(data_type).alias(name)
 
 
-def read_text_columns(spark: SparkSession, path: str, *, multiline: bool = False) -> DataFrame:
-    """CSV with header, every column as text, each file under its own header.
+def file_headers(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """``file`` and ``header``, its first line, of every text file at or below the paths; empty files have none.
 
-    Files of a folder that share a header are read together; a column that some
-    of them lack is null there. Texts come back as they were written: blanks at
-    their ends, and empty texts apart from nulls. ``multiline`` allows line
-    breaks inside quotes, at the price that a file is not split among tasks.
+    Two jobs, however many files there are. Small files are read by Spark, which
+    keeps their first lines. Of larger ones tasks read the first bytes only, each
+    task those of many files. Where workers cannot open a file, as its file system
+    or its compression is one that only Spark knows, Spark reads that too.
     """
-    by_header: dict[str, list[str]] = {}
-    for file in leaf_files(spark, path):
-        header = first_line(spark, file)
-        if header is not None:
-            by_header.setdefault(header, []).append(file)
-    groups = [[path]] if len(by_header) < 2 else list(by_header.values())
-    frames = [
-        spark.read.csv(
-            files,
-            header=True,
-            escape='"',
-            multiLine=multiline,
-            ignoreLeadingWhiteSpace=False,
-            ignoreTrailingWhiteSpace=False,
-            nullValue=NO_VALUE,
-            emptyValue="",
-        )
-        for files in groups
+    path, size = F.col("_metadata.file_path"), F.col("_metadata.file_size")
+    opened = F.lit(False)
+    if all(file_scheme(spark, p) in OPENED_SCHEMES for p in paths):
+        opened = (size > SMALL_FILE) & ~path.rlike(r"\.(?:deflate|lz4|snappy)$")
+    text = spark.read.text(paths, recursiveFileLookup=True)
+    placed = text.where(~opened).select(path.alias("file"), F.col("value").alias("header"), _place().alias("place"))
+    firsts = placed.groupBy("file").agg(F.min_by("header", "place").alias("header"))
+    # No content is read by this, so a task may get as many files as there are for a core.
+    names = spark.newSession()
+    names.conf.set("spark.sql.files.maxPartitionBytes", 1 << 45)
+    listed = names.read.format("binaryFile").load(paths, recursiveFileLookup=True)
+    heads = listed.where(opened).select(path.alias("file")).mapInArrow(first_lines(), "file string, header string")
+    found = scratch_path(spark, "headers")
+    firsts.write.parquet(f"{found}/by=spark")
+    heads.write.parquet(f"{found}/by=task")
+    return spark.read.parquet(found).select("file", "header")
+
+
+def first_lines() -> Callable:
+    """The first line of every file named in Arrow batches, for use in tasks."""
+
+    def lines(stream):
+        from urllib.parse import unquote
+
+        import pyarrow as pa
+        from pyarrow import fs
+
+        def first(file: str) -> str:
+            if file.startswith("file:"):
+                system, path = fs.LocalFileSystem(), "/" + unquote(file[5:]).lstrip("/")
+            else:
+                system, path = fs.FileSystem.from_uri(file.replace("s3a:", "s3:", 1))
+            head = b""
+            with system.open_input_stream(path, compression="detect") as opened:
+                while b"\n" not in head and b"\r" not in head:
+                    more = opened.read(1 << 16)
+                    if not more:
+                        break
+                    head += more
+            return head.replace(b"\r", b"\n").split(b"\n", 1)[0].decode("utf-8", "replace")
+
+        for batch in stream:
+            headers = pa.array([first(file) for file in batch.column(0).to_pylist()], pa.string())
+            yield pa.RecordBatch.from_arrays([batch.column(0), headers], ["file", "header"])
+
+    return lines
+
+
+def column_names(header: str) -> list[str]:
+    """Names of a header line: blank ones and those that occur twice told apart by their place."""
+    cells = next(csv.reader([header]), [])
+    seen = Counter(cell.lower() for cell in cells)
+    return [
+        f"_c{i}" if not cell else f"{cell}{i}" if seen[cell.lower()] > 1 else cell for i, cell in enumerate(cells)
     ]
-    return union_files(frames)
+
+
+def read_text_columns(
+    spark: SparkSession, paths: str | list[str], *, multiline: bool = False, position: bool = False
+) -> DataFrame:
+    """CSV with header, every column as text, each file under its own header.
+
+    All files at or below the paths are read by one scan, whatever their number
+    and that of their headers. Where headers differ, a row finds the number of
+    its file's header in a small table that leaves out the files of the most
+    frequent one; a column that a header lacks is null in its files. Texts come
+    back as they were written: blanks at their ends, and empty texts apart from
+    nulls. A part ``name=value`` of all paths is a column too, if no header has
+    it. ``multiline`` allows line breaks inside quotes, at the price that a file
+    is not split among tasks. ``position`` adds ``_position``, see ``read_table``.
+    """
+    paths = [paths] if isinstance(paths, str) else paths
+    files = file_headers(spark, paths)
+    counted = files.groupBy("header").agg(F.count(F.lit(1)).alias("n"), F.min("file").alias("file"))
+    # As many rows as there are different headers.
+    headers = sorted(counted.collect(), key=lambda row: row["file"])
+    layouts = [column_names(row["header"]) for row in headers]
+    width = max(map(len, layouts), default=0)
+    cells = [f"_{i}" for i in range(width)]
+    raw = spark.read.csv(
+        paths,
+        schema=StructType([StructField(cell, StringType()) for cell in cells]),
+        header=True,
+        recursiveFileLookup=True,
+        escape='"',
+        multiLine=multiline,
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
+        nullValue=NO_VALUE,
+        emptyValue="",
+    )
+    file = F.col("_metadata.file_path")
+    extra = {name: _folder_value(file, name) for name in folder_names(row["file"] for row in headers)}
+    if position:
+        extra[POSITION] = _place()
+    known = {name.lower() for layout in layouts for name in layout}
+    extra = {name: value for name, value in extra.items() if name.lower() not in known}
+    rows = raw.select("*", *[value.alias(name) for name, value in extra.items()], F.xxhash64(file).alias("_file"))
+    if len(headers) > 1:
+        main = max(range(len(headers)), key=lambda i: headers[i]["n"])
+        numbers = _header_numbers(files, [row["header"] for row in headers], main)
+        rows = lookup_join(rows, numbers, {"_file": "hash"})
+        number = F.coalesce("header_no", F.lit(main))
+    else:
+        number = F.lit(0)
+    return rows.select(*[c.alias(name) for name, c in _by_name(layouts, number).items()], *extra)
+
+
+def _header_numbers(files: DataFrame, headers: list[str], main: int) -> DataFrame:
+    """``hash`` of each file that does not have the main header, and the number of the header it has."""
+    known = files.sparkSession.createDataFrame(list(enumerate(headers)), "header_no int, text string")
+    numbered = lookup_join(files, known, {"header": "text"}, "inner")
+    number = F.max("header_no")
+    clash = F.raise_error(F.lit("two files of different headers share a hash: read them by themselves")).cast("int")
+    checked = F.when(F.min("header_no") == number, number).otherwise(clash)
+    by_hash = numbered.groupBy(F.xxhash64("file").alias("hash")).agg(checked.alias("header_no"))
+    return by_hash.where(F.col("header_no") != main)
+
+
+def _by_name(layouts: list[list[str]], number: Column) -> dict[str, Column]:
+    """Every column of any header, from the place where a row's header has it."""
+    named: dict[str, tuple[str, dict[int, list[int]]]] = {}
+    for i, layout in enumerate(layouts):
+        for place, name in enumerate(layout):
+            named.setdefault(name.lower(), (name, {}))[1].setdefault(place, []).append(i)
+    columns = {}
+    for name, places in named.values():
+        if [*places.values()] == [list(range(len(layouts)))]:
+            columns[name] = F.col(f"_{next(iter(places))}")
+            continue
+        value = F.lit(None).cast("string")
+        for place, which in places.items():
+            value = F.when(number.isin(which), F.col(f"_{place}")).otherwise(value)
+        columns[name] = value
+    return columns
+
+
+def folder_names(files: Iterable[str]) -> list[str]:
+    """Names of the parts ``name=value`` that the paths of all files have."""
+    found = [dict.fromkeys(re.findall("(?<=/)([^/=]+)=[^/]*/", file)) for file in files]
+    return [name for name in (found[0] if found else []) if all(name in names for names in found)]
+
+
+def _folder_value(file: Column, name: str) -> Column:
+    value = F.regexp_extract(file, f"/{re.escape(name)}=([^/]*)/", 1)
+    # Encoded twice: as the name of a folder, then as part of an address.
+    return F.when(value != "__HIVE_DEFAULT_PARTITION__", unescaped(unescaped(value)))
 
 
 def read_table(
@@ -77,19 +214,25 @@ def read_table(
     if path.rstrip("/").endswith(".parquet"):
         raw = spark.read.parquet(path)
         columns = [F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields]
+        if position:
+            columns.append(_place().alias(POSITION))
     else:
-        raw = read_text_columns(spark, path, multiline=multiline)
+        raw = read_text_columns(spark, path, multiline=multiline, position=position)
         columns = [typed(f.name, f.dataType) for f in schema.fields]
-    if position:
-        place = F.struct(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("row"),
-        )
-        columns.append(place.alias(POSITION))
+        if position:
+            columns.append(F.col(POSITION))
     return raw.select(*columns)
 
 
+def _place() -> Column:
+    """Where a row stands: its file, its part of the file, and its number there."""
+    return F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+
+
 def scan_flights(spark: SparkSession, path: str) -> DataFrame:
     """The enriched flight file, 29 columns."""
     return read_table(spark, path, FLIGHTS)
@@ -137,5 +280,5 @@ def scan_years(
     paths = year_paths(spark, directory, start_year)
     if not paths:
         raise ValueError(f"no file from {start_year} on in {directory}")
-    raw = union_files([read_text_columns(spark, path) for path in paths])
+    raw = read_text_columns(spark, paths)
     return raw.select([typed(f.name, f.dataType) for f in schema.fields])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 from pathlib import Path
+from urllib.parse import unquote
 
 import pytest
 from pyspark.sql import functions as F
@@ -270,3 +271,99 @@ def test_headers_of_compressed_files(spark, tmp_path):
     for name, text in {"a.csv.gz": "ORIGIN,DEST\nJFK,ORD\n", "b.csv.gz": "DEST,ORIGIN\nATL,LAX\n"}.items():
         (tmp_path / name).write_bytes(gzip.compress(text.encode()))
     assert sorted(map(tuple, read_table(spark, str(tmp_path), kinds).collect())) == [("JFK", "ORD"), ("LAX", "ATL")]
+
+
+def jobs_of(spark, work):
+    """What some work gives, and how many jobs it ran."""
+    group = f"counted-{scratch_path(spark)}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        return work(), len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def many_files(folder: Path, n: int) -> list[tuple]:
+    """Files of three headers, one of them rare and one with a column the others lack."""
+    folder.mkdir()
+    expected = []
+    for i in range(n):
+        if i % 50 == 7:
+            text = f"DEST,X,ORIGIN\nd{i},x,o{i}\n"
+        elif i % 3:
+            text = f"ORIGIN,DEST\no{i},d{i}\n"
+        else:
+            text = f'"DEST",ORIGIN\n"d{i}",o{i}\n'
+        (folder / f"{i}.csv").write_text(text)
+        expected.append((f"o{i}", f"d{i}"))
+    return sorted(expected)
+
+
+def test_jobs_do_not_grow_with_files(spark, tmp_path):
+    kinds = StructType([StructField(c, StringType()) for c in ("ORIGIN", "DEST")])
+    counts = []
+    for n in (40, 2000):
+        expected = many_files(tmp_path / str(n), n)
+        scanned, jobs = jobs_of(spark, lambda: read_table(spark, str(tmp_path / str(n)), kinds))
+        counts.append(jobs)
+        assert sorted(map(tuple, scanned.collect())) == expected
+        plan = scanned._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count(" csv") == 1 and "Union" not in plan
+    # Spark lists many files by a job of its own, once for each of the three readers.
+    assert counts[1] <= counts[0] + 3
+
+
+@pytest.mark.parametrize("schemes", [readers.OPENED_SCHEMES, ()])
+def test_headers_of_large_files(spark, tmp_path, monkeypatch, schemes):
+    """By tasks that open files, and by Spark where tasks cannot."""
+    import gzip
+
+    monkeypatch.setattr(readers, "SMALL_FILE", 1000)
+    monkeypatch.setattr(readers, "OPENED_SCHEMES", schemes)
+    line = "o" * 500 + ",d\n"
+    for name, header in (("a", "ORIGIN,DEST\n"), ("b +é", "DEST,ORIGIN\r\n"), ("c", "ORIGIN,DEST\n")):
+        (tmp_path / f"{name}.csv").write_bytes((header + line * 20_000).encode())
+    (tmp_path / "d.csv.gz").write_bytes(gzip.compress(("DEST,ORIGIN\n" + "".join(f"d{i * i},o{i}\n" for i in range(2000))).encode()))
+    (tmp_path / "small.csv").write_text("ORIGIN,DEST\no,d\n")
+    headers = {unquote(r.file.rsplit("/", 1)[-1]): r.header for r in readers.file_headers(spark, [str(tmp_path)]).collect()}
+    same, turned = "ORIGIN,DEST", "DEST,ORIGIN"
+    assert headers == {"a.csv": same, "b +é.csv": turned, "c.csv": same, "d.csv.gz": turned, "small.csv": same}
+    kinds = StructType([StructField(c, StringType()) for c in ("ORIGIN", "DEST")])
+    back = read_table(spark, str(tmp_path), kinds)
+    assert back.where("ORIGIN LIKE 'o%' AND length(ORIGIN) = 500").count() == 40_000
+    assert back.where("length(DEST) = 500 AND ORIGIN = 'd'").count() == 20_000
+    assert back.where("ORIGIN RLIKE '^o[0-9]*$' AND DEST RLIKE '^d[0-9]*$'").count() == 2001
+
+
+def test_only_the_heads_of_large_files_are_read(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(readers, "SMALL_FILE", 1000)
+    (tmp_path / "a.csv").write_bytes(b"A,B\n" + b"x,y\n" * 1000 + b"\xff\n")
+    (tmp_path / "b.csv").write_text("B,A\n")
+    plan = spark.read.text(str(tmp_path)).where(F.col("_metadata.file_size") <= 1000)
+    assert [r.value for r in plan.collect()] == ["B,A"]
+    text = plan._jdf.queryExecution().executedPlan()
+    assert text.collectLeaves().head().metrics().get("numFiles").get().value() == 1
+
+
+def test_header_names(spark, tmp_path):
+    assert readers.column_names('a,,"b ""c"", d",A, x') == ["a0", "_c1", 'b "c", d', "A3", " x"]
+    assert readers.column_names("") == []
+    (tmp_path / "one.csv").write_text("ORIGIN,dest\no,d\n")
+    (tmp_path / "two.csv").write_text("DEST,Origin,DEST\nd,o,e\n")
+    raw = readers.read_text_columns(spark, str(tmp_path))
+    assert raw.columns == ["ORIGIN", "dest", "DEST0", "DEST2"]
+    assert sorted(map(tuple, raw.collect()), key=str) == [("o", "d", None, None), ("o", None, "d", "e")]
+
+
+def test_folders_name_columns_too(spark, tmp_path):
+    for year, city, text in ((2020, "a b", "n\n1\n"), (2021, "c%3Ad+é", "m,n\n3,2\n")):
+        folder = tmp_path / f"year={year}" / f"city={city}"
+        folder.mkdir(parents=True)
+        (folder / "x.csv").write_text(text)
+    back = read_table(spark, str(tmp_path), schemas.columns("n long, year long, city string")).collect()
+    assert sorted(map(tuple, back)) == [(1, 2020, "a b"), (2, 2021, "c:d+é")]
+
+
+def test_no_files_give_no_rows(spark, tmp_path):
+    (tmp_path / "empty.csv").write_text("")
+    assert readers.read_text_columns(spark, str(tmp_path)).count() == 0
