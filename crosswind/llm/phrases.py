@@ -44,6 +44,8 @@ LEAST = 30
 SHARE_PERCENT = 80
 SCALE = 2_000_000
 TOP = 2000
+# Parts in which the phrases of a language are ranked before they are ranked as a whole.
+SHARES = 16
 UNKNOWN = "und"
 # Suffixes that a task's key should lead at most, and that a route has on average.
 ROUTE = 1 << 17
@@ -364,8 +366,11 @@ def collocations(
     candidates = kept.where(~F.coalesce(hidden, F.lit(False))).drop("longest")
     scored = lowest_cut(candidates, words.where(F.col("n") >= least), phrases, limit)
     order = [F.col("score").desc(), F.col("a").desc(), F.col("phrase")]
+    # First by shares of a language, so that the last ranking meets a bounded number of rows.
+    share = F.pmod(F.xxhash64("phrase"), F.lit(SHARES))
+    near = F.row_number().over(Window.partitionBy("lang", share).orderBy(*order))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(*order))
-    ranked = scored.withColumn("rank", rank).where(F.col("rank") <= top)
+    ranked = scored.withColumn("near", near).where(F.col("near") <= top).withColumn("rank", rank).where(F.col("rank") <= top)
     totals = words.groupBy(F.col("lang").alias("_lang")).agg(F.sum("n").alias("n"))
     placed = lookup_join(ranked, totals, {"lang": "_lang"}, limit=limit)
     return placed.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
