@@ -113,7 +113,7 @@ def heavy_keys(facts: DataFrame, key_sets: list[list[str]]) -> DataFrame:
     With P partitions a fair one holds total/P rows, and a key with n rows is
     cut into ceil(n * P / total) pieces. Keys with one piece are left out, so
     at most P keys remain whatever the data, and their pieces number at most 2P:
-    the list is small by counting, and so are the copies it causes. Several key
+    the list is small by counting. Several key
     sets that meet the same lookup table are counted together in one pass, each
     adding as much to the bounds.
     """
@@ -133,63 +133,104 @@ def heavy_keys(facts: DataFrame, key_sets: list[list[str]]) -> DataFrame:
     return counts.select(*names, pieces.alias("pieces")).where("pieces > 1")
 
 
+def key_grid(facts: DataFrame, key_sets: list[list[str]], lookup: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys too heavy for a task on either side: ``key_0…, pieces, parts``.
+
+    The facts of a key are cut into ``pieces`` and its lookup rows into
+    ``parts``, each by its share of its own side. Every piece meets every part,
+    so the facts of a key are copied once for each part and its lookup rows once
+    for each piece, both less often than they occur in the result.
+    """
+    one = F.lit(1)
+    heavy = heavy_keys(facts, key_sets).withColumn("parts", one)
+    crowded = heavy_keys(lookup, [keys]).select(*[f"key_{i}" for i in range(len(keys))], one, F.col("pieces"))
+    both = heavy.union(crowded).groupBy(*[f"key_{i}" for i in range(len(keys))])
+    return both.agg(F.max("pieces").alias("pieces"), F.max("parts").alias("parts"))
+
+
+def _placed(df: DataFrame, keys: list[str], grid: DataFrame, copies: str, by: list[str]) -> DataFrame:
+    """Rows once for each of the ``copies`` of their key, with ``_pieces``, ``_parts``, ``_copy`` and ``_hash``.
+
+    The small table has a row for each copy, so the join that finds a heavy key copies too.
+    """
+    names = {f"key_{i}": f"_heavy_{i}" for i in range(len(keys))}
+    numbers = F.sequence(F.lit(0), F.col(copies) - 1)
+    listed = grid.select(
+        *[F.col(key).alias(name) for key, name in names.items()],
+        F.col("pieces").alias("_pieces"),
+        F.col("parts").alias("_parts"),
+        F.explode(numbers).alias("_copy"),
+    )
+    condition = reduce(
+        Column.__and__, (F.col(key) == F.col(name) for key, name in zip(keys, names.values()))
+    )
+    placed = df.withColumn("_hash", F.xxhash64(*hashable(df, by))).join(F.broadcast(listed), condition, "left")
+    return placed.drop(*names.values()).na.fill(1, ["_pieces", "_parts"]).na.fill(0, ["_copy"])
+
+
 def spread_facts(
-    facts: DataFrame, keys: list[str], heavy: DataFrame, by: list[str] | None = None
+    facts: DataFrame, keys: list[str], grid: DataFrame, by: list[str] | None = None
 ) -> DataFrame:
-    """Facts with ``_piece``: the piece of its key a row goes to.
+    """Facts with ``_piece`` and ``_part``: once for each part of their key's lookup rows.
 
     The piece follows from the row's own values in the columns ``by``, else in
     all columns, so a task that runs again after a lost executor sends its rows
     to the same place. Rows with a null key match nothing and are spread over
-    all partitions.
+    all partitions. ``_alone`` tells that a row was not copied.
     """
     partitions = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    row_hash = F.xxhash64(*hashable(facts, by or facts.columns))
-    names = {f"key_{i}": f"_heavy_{i}" for i in range(len(keys))}
-    small = F.broadcast(heavy.withColumnsRenamed(names | {"pieces": "_pieces"}))
-    condition = reduce(
-        Column.__and__, (F.col(key) == F.col(name) for key, name in zip(keys, names.values()))
-    )
     any_null = reduce(Column.__or__, (F.col(key).isNull() for key in keys))
-    pieces = F.when(any_null, partitions).otherwise(F.coalesce("_pieces", F.lit(1)))
+    pieces = F.when(any_null, partitions).otherwise(F.col("_pieces"))
     return (
-        facts.withColumn("_hash", row_hash)
-        .join(small, condition, "left")
+        _placed(facts, keys, grid, "parts", by or facts.columns)
         .withColumn("_piece", F.pmod("_hash", pieces).cast("int"))
-        .drop("_hash", "_pieces", *names.values())
+        .withColumn("_alone", F.col("_parts") == 1)
+        .withColumnRenamed("_copy", "_part")
+        .drop("_hash", "_pieces", "_parts")
     )
 
 
-def copy_lookup(lookup: DataFrame, keys: list[str], heavy: DataFrame) -> DataFrame:
-    """Lookup rows, once for every piece of their key, with ``_piece``."""
-    names = {f"key_{i}": f"_heavy_{i}" for i in range(len(keys))}
-    small = F.broadcast(heavy.withColumnsRenamed(names | {"pieces": "_pieces"}))
-    condition = reduce(
-        Column.__and__, (F.col(key) == F.col(name) for key, name in zip(keys, names.values()))
-    )
-    copies = F.sequence(F.lit(0), F.coalesce("_pieces", F.lit(1)) - 1)
-    return lookup.join(small, condition, "left").select(
-        *lookup.columns, F.explode(copies).alias("_piece")
+def copy_lookup(lookup: DataFrame, keys: list[str], grid: DataFrame) -> DataFrame:
+    """Lookup rows with ``_part`` and ``_piece``: once for each piece of their key's facts."""
+    return (
+        _placed(lookup, keys, grid, "pieces", lookup.columns)
+        .withColumn("_part", F.pmod("_hash", F.col("_parts")).cast("int"))
+        .withColumnRenamed("_copy", "_piece")
+        .drop("_hash", "_pieces", "_parts")
     )
 
 
+def grid_join(facts: DataFrame, lookup: DataFrame, on: dict[str, str], how: str) -> DataFrame:
+    """Join of spread facts and copied lookup rows; the cells' numbers are dropped.
+
+    A fact that was copied finds its match in one part or another, so copies
+    that find none in theirs are left out.
+    """
+    cells = on | {"_piece": "_piece", "_part": "_part"}
+    if how in ("left_semi", "left_anti", "inner"):
+        return keyed_join(facts, lookup, cells, how).drop("_piece", "_part", "_alone")
+    found = keyed_join(facts, lookup.withColumn("_met", F.lit(True)), cells, how)
+    return found.where(F.col("_alone") | F.col("_met").isNotNull()).drop("_piece", "_part", "_alone", "_met")
+
+
 def spread_join(
     facts: DataFrame,
     lookup: DataFrame,
     on: dict[str, str],
     how: str = "left",
     *,
-    heavy: DataFrame | None = None,
+    grid: DataFrame | None = None,
 ) -> DataFrame:
-    """Shuffle join in which heavy keys are cut into pieces.
+    """Shuffle join in which keys that are heavy on either side are cut into a grid of pieces.
 
-    Exact copies of a fact row share a piece; should such copies pile up, AQE
-    still splits the partition they land in.
+    Exact copies of a row share a piece; should such copies pile up, AQE still
+    splits the partition they land in. Semi and anti joins take a lookup of
+    different keys, so there only facts are cut.
     """
     keys = list(on)
-    if heavy is None:
-        heavy = heavy_keys(facts, [keys])
-    left = spread_facts(facts, keys, heavy)
+    if grid is None:
+        grid = key_grid(facts, [keys], lookup, list(on.values()))
+    left = spread_facts(facts, keys, grid)
     # Beyond the limit Spark's own estimate must not bring the broadcast back.
-    right = copy_lookup(lookup, list(on.values()), heavy).hint("merge")
-    return keyed_join(left, right, on | {"_piece": "_piece"}, how).drop("_piece")
+    right = copy_lookup(lookup, list(on.values()), grid).hint("merge")
+    return grid_join(left, right, on, how)

@@ -18,7 +18,8 @@ from crosswind.operators.joins import (
     BROADCAST_BYTES,
     copy_lookup,
     fits_broadcast,
-    heavy_keys,
+    grid_join,
+    key_grid,
     keyed_join,
     spread_facts,
 )
@@ -82,9 +83,9 @@ def join_weather(
     """Flights with the labelled weather of the departure and arrival hour.
 
     Every flight is kept. Weather that is measured to fit is broadcast. Else
-    both joins shuffle, and one count of the keys of both roles tells which
-    airport hours are too heavy for a task. The two roles then read the same
-    copied weather, shuffled once.
+    both joins shuffle, and one count of the keys of both roles and one of the
+    weather tell which airport hours are too heavy for a task, on either side.
+    The two roles then read the same copied weather, shuffled once.
     """
     weather = weather.select("time", "airport", *WEATHER_ROLE)
     if fits_broadcast(weather, limit):
@@ -92,14 +93,13 @@ def join_weather(
             on = dict(zip(ROLES[role], ["time", "airport"]))
             flights = keyed_join(flights, F.broadcast(weather_role(weather, role)), on, "left")
         return flights
-    heavy = heavy_keys(flights, [ROLES[role] for role in roles])
-    copied = copy_lookup(weather, ["time", "airport"], heavy)
+    grid = key_grid(flights, [ROLES[role] for role in roles], weather, ["time", "airport"])
+    copied = copy_lookup(weather, ["time", "airport"], grid)
     identity = [name for name in FLIGHT_IDENTITY if name in flights.columns]
     for role in roles:
-        on = dict(zip([*ROLES[role], "_piece"], ["time", "airport", "_piece"]))
-        spread = spread_facts(flights, ROLES[role], heavy, identity)
-        seen = weather_role(copied, role).hint("merge")
-        flights = keyed_join(spread, seen, on, "left").drop("_piece")
+        on = dict(zip(ROLES[role], ["time", "airport"]))
+        spread = spread_facts(flights, ROLES[role], grid, identity)
+        flights = grid_join(spread, weather_role(copied, role).hint("merge"), on, "left")
     return flights
 
 

@@ -12,7 +12,12 @@ from crosswind.session import path_exists, read_note, write_note
 
 
 def write_csv(
-    df: DataFrame, path: str, *, partition_by: tuple[str, ...] = (), multiline: bool = False
+    df: DataFrame,
+    path: str,
+    *,
+    partition_by: tuple[str, ...] = (),
+    multiline: bool = False,
+    mode: str = "overwrite",
 ) -> None:
     """CSV with header that reads back as it was: blanks, quotes, empty texts and nulls.
 
@@ -27,7 +32,7 @@ def write_csv(
     writer.csv(
         path,
         header=True,
-        mode="overwrite",
+        mode=mode,
         escape='"',
         ignoreLeadingWhiteSpace=False,
         ignoreTrailingWhiteSpace=False,

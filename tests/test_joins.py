@@ -45,18 +45,22 @@ def test_semi_and_anti_keep_each_row_once(skewed, lookup, how):
         assert sorted(r.row for r in got.collect()) == plain
 
 
+def heavy_grid(facts):
+    return joins.heavy_keys(facts, [["k"]]).withColumn("parts", F.lit(1))
+
+
 def test_heavy_keys_are_few_and_cut(spark, skewed):
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     heavy = joins.heavy_keys(skewed, [["k"]]).collect()
     assert [r.key_0 for r in heavy] == [7]
     assert heavy[0].pieces == partitions / 2
-    pieces = joins.spread_facts(skewed, ["k"], joins.heavy_keys(skewed, [["k"]]))
+    pieces = joins.spread_facts(skewed, ["k"], heavy_grid(skewed))
     largest = pieces.groupBy("k", "_piece").count().agg(F.max("count")).first()[0]
     assert largest < 1.3 * 9000 / partitions
 
 
 def test_pieces_follow_from_the_row_alone(skewed):
-    heavy = joins.heavy_keys(skewed, [["k"]])
+    heavy = heavy_grid(skewed)
     once = joins.spread_facts(skewed, ["k"], heavy)
     again = joins.spread_facts(skewed.repartition(5).orderBy(F.desc("row")), ["k"], heavy)
     assert once.exceptAll(again).count() == 0
@@ -71,6 +75,40 @@ def test_key_sets_are_counted_together(spark):
     assert heavy["a"] == -(-1900 * 2 * partitions // 2000)
 
 
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_keys_heavy_on_both_sides(spark, how):
+    """One key with a third of the facts and of the lookup rows, one heavy on each side alone, and some without a match."""
+    n = F.col("id")
+    key = F.when(n % 3 == 0, 1).when(n % 30 == 1, 2).when(n % 50 == 2, 4).otherwise(n + 100)
+    facts = spark.range(6000).select(n.alias("row"), key.alias("k"))
+    code = F.when(n % 3 == 0, 1).when(n % 3 == 1, 3).when(n % 50 == 2, 4).otherwise(n + 100_000)
+    lookup = spark.range(3000).select(code.alias("code"), n.alias("value"))
+    sides = facts.where("k IS NOT NULL"), lookup
+    plain = facts.join(lookup, F.col("k") == F.col("code"), how).drop("code")
+    joined = joins.spread_join(*sides, {"k": "code"}, how)
+    counted = lambda df: df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("row", "k", "value").cast("decimal(38,0)"))).first()
+    assert counted(joined) == counted(plain)
+    assert joined.columns == plain.columns
+
+
+def test_no_task_gets_a_heavy_hour_whole(spark):
+    """100,000 facts and as many lookup rows of one key, which is a third of each side."""
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = F.col("id")
+    facts = spark.range(300_000).select(n.alias("row"), F.when(n % 3 == 0, -1).otherwise(n).alias("k"))
+    lookup = spark.range(300_000).select(F.when(n % 3 == 0, -1).otherwise(n).alias("code"), n.alias("value"))
+    grid = joins.key_grid(facts, [["k"]], lookup, ["code"])
+    assert [tuple(r) for r in grid.collect()] == [(-1, -(-partitions // 3), -(-partitions // 3))]
+    left = joins.spread_facts(facts, ["k"], grid).where("k = -1").groupBy("_piece", "_part").agg(F.count("*").alias("n"))
+    right = joins.copy_lookup(lookup, ["code"], grid).where("code = -1").groupBy("_piece", "_part").agg(F.count("*").alias("m"))
+    cells = left.join(right, ["_piece", "_part"]).selectExpr("n", "m", "n * m AS pairs").collect()
+    # Every pair is made in one cell, and no cell has much more than its share.
+    assert sum(r.pairs for r in cells) == 100_000**2
+    assert len(cells) == (-(-partitions // 3)) ** 2
+    assert max(r.pairs for r in cells) < 1.05 * 100_000**2 / len(cells)
+    assert max(r.n for r in cells) < 1.05 * 300_000 / partitions
+
+
 def test_table_bytes_counts_text(spark):
     df = spark.createDataFrame([("abc", 1), (None, 2)], "s string, i int")
     size = 2 * (16 + joins.ROW_BYTES) + 3
@@ -103,8 +141,8 @@ def test_beyond_the_limit_nothing_is_broadcast_but_the_heavy_keys(spark):
     # A third of the facts share one key.
     facts = spark.range(3000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 0 ELSE id END AS k")
     lookup = spark.range(3000).selectExpr("id AS key", "id * 2 AS twice")
-    heavy = joins.heavy_keys(facts, [["k"]])
-    assert [(r.key_0, r.pieces > 1) for r in heavy.collect()] == [(0, True)]
+    grid = joins.key_grid(facts, [["k"]], lookup, ["key"])
+    assert [(r.key_0, r.pieces > 1, r.parts) for r in grid.collect()] == [(0, True, 1)]
     out = joins.lookup_join(facts, lookup, {"k": "key"}, limit=0)
     assert out.where("twice = 2 * k").count() == 3000
     plan = out._jdf.queryExecution().toString()
