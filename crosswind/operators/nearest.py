@@ -1,25 +1,30 @@
 """The nearest place to each point.
 
 Space is cut into cubes whose side is the largest distance allowed, so a point
-needs to look only into its own cube and the 26 around it. Where places crowd,
-the cubes are cut further, and a point follows only those smaller cubes that
-can still hold its nearest place. The result is exact; a point never meets all
-places of a crowded cube.
+needs to look only into its own cube and the 26 around it. The places of a cube
+are put in order along a curve that keeps neighbours together, and packed into
+leaves of a set number of places, leaves into larger nodes of so many leaves, and
+so on, each with the box around its places. A sparse cube is one leaf; a
+crowded one gets as many as it needs, and nothing elsewhere changes. A point
+goes from a cube's nodes down to those leaves that can still hold its nearest
+place. The result is exact; a point never meets all places of a crowded cube, and
+the rounds grow only with the logarithm of the places to the base of a node's size.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from crosswind.functions.geo import AXES, chord_of_km, km_of_chord, squared_chord, unit_vector
+from crosswind.functions.geo import AXES, chord_of_km, km_of_chord, squared_chord, unit_vector, z_order
 from crosswind.operators.joins import BROADCAST_BYTES, lookup_join
 from crosswind.session import settle
 
-# A cube is cut into 8 x 8 x 8 smaller ones.
-CUT_BITS = 3
-MAX_DEPTH = 6
+# Places of a leaf, and parts of a larger node.
 CROWD = 200
+CUBE = [f"cube_{a}" for a in AXES]
 PLACE_COLUMNS = ["city", "state", "country", "town"]
 
 
@@ -42,30 +47,27 @@ def nearest_place(
     """
     columns = columns or PLACE_COLUMNS
     chord = chord_of_km(radius_km)
-    spots = _with_cells(
+    spots = _in_cubes(
         points.select(F.col(latitude).alias("lat"), F.col(longitude).alias("lon")).distinct(), chord
     )
     values = F.min(F.struct(*columns)).alias("place")
-    sites = _with_cells(
+    sites = _in_cubes(
         places.groupBy(F.col(latitude).alias("lat"), F.col(longitude).alias("lon")).agg(values),
         chord,
     ).drop("lat", "lon")
-    # The places are counted, measured and joined, so they are brought together once.
-    sites = settle(sites, "sites")
-    depth = _depth(sites, crowd)
-
+    # Once written, the places keep their numbers.
+    sites = settle(_in_order(sites, chord), "sites")
     near = _around(spots)
-    for level in range(depth):
-        near = settle(_descend(near, sites, level, chord, limit), "near")
-    cells = _cell_names(depth)
+    above: list[str] = []
+    for rank in range(_ranks(sites, crowd), 0, -1):
+        near = settle(_descend(near, sites, above, crowd**rank, chord, limit), "near")
+        sites = sites.withColumn("node", _node(crowd**rank))
+        above = ["part", "node"]
+    leaf = [*CUBE, "part", "node"]
     pairs = lookup_join(
         near,
-        sites.select(
-            *[_cell(a, depth).alias(c) for a, c in zip(AXES, cells)],
-            *[F.col(a).alias(f"site_{a}") for a in AXES],
-            "place",
-        ),
-        {c: c for c in cells},
+        sites.select(*leaf, *[F.col(a).alias(f"site_{a}") for a in AXES], "place"),
+        {c: c for c in leaf},
         "inner",
         limit=limit,
     )
@@ -84,53 +86,56 @@ def nearest_place(
     return joined.drop("_lat", "_lon")
 
 
-def _with_cells(df: DataFrame, side: float) -> DataFrame:
-    """Coordinates as a vector, with the number of the smallest cube on each axis."""
+def _in_cubes(df: DataFrame, side: float) -> DataFrame:
+    """Coordinates as a vector, with the number of its cube on each axis."""
     df = df.dropna(subset=["lat", "lon"])
     df = df.withColumns(unit_vector(F.col("lat"), F.col("lon")))
-    finest = side / (1 << (CUT_BITS * MAX_DEPTH))
-    return df.withColumns({f"cube_{a}": F.floor(F.col(a) / finest) for a in AXES})
-
-
-def _cell(axis: str, level: int):
-    """Number of the cube of a level, from the number of the smallest cube."""
-    return F.shiftright(f"cube_{axis}", CUT_BITS * (MAX_DEPTH - level))
+    return df.withColumns({name: F.floor(F.col(a) / side) for a, name in zip(AXES, CUBE)})
+
+
+def _in_order(sites: DataFrame, side: float) -> DataFrame:
+    """Places along the curve, dealt to parts by ranges of it, with their ``row`` within the ``part``."""
+    shares = [F.col(a) / side - F.col(name) for a, name in zip(AXES, CUBE)]
+    order = [*CUBE, "_z", *AXES]
+    parts = int(sites.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = sites.withColumn("_z", z_order(shares)).repartitionByRange(parts, *order)
+    number = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    return placed.sortWithinPartitions(*order).select(
+        *CUBE, *AXES, "place", F.spark_partition_id().alias("part"), number.alias("row")
+    )
 
 
-def _cell_names(level: int) -> list[str]:
-    return [f"cell_{a}_{level}" for a in AXES]
+def _node(size: int) -> Column:
+    """Number of the node of so many places that a place is in, within its part and cube."""
+    return F.floor(F.col("row") / size)
 
 
-def _depth(sites: DataFrame, crowd: int) -> int:
-    """First level at which no cube holds more than ``crowd`` places."""
-    for level in range(MAX_DEPTH):
-        counts = sites.groupBy(*[_cell(a, level) for a in AXES]).count()
-        if (counts.agg(F.max("count")).first()[0] or 0) <= crowd:
-            return level
-    return MAX_DEPTH
+def _ranks(sites: DataFrame, crowd: int) -> int:
+    """How many times places must be packed until a cube's places within a part are one or two nodes."""
+    counts = sites.groupBy("part", *CUBE).count()
+    most = counts.agg(F.max("count")).first()[0] or 0
+    return max(1, math.ceil(math.log(max(most, 1), max(crowd, 2)) - 1e-9))
 
 
 def _around(spots: DataFrame) -> DataFrame:
-    """Each point with the 27 largest cubes in and around which it lies."""
-    for axis, name in zip(AXES, _cell_names(0)):
-        own = _cell(axis, 0)
-        spots = spots.withColumn(name, F.explode(F.array(own - 1, own, own + 1)))
-    return spots.select("lat", "lon", *AXES, *_cell_names(0))
+    """Each point with the 27 cubes in and around which it lies."""
+    for name in CUBE:
+        spots = spots.withColumn(name, F.explode(F.array(F.col(name) - 1, F.col(name), F.col(name) + 1)))
+    return spots.select("lat", "lon", *AXES, *CUBE)
 
 
 def _descend(
-    near: DataFrame, sites: DataFrame, level: int, chord: float, limit: int
+    near: DataFrame, sites: DataFrame, above: list[str], size: int, chord: float, limit: int
 ) -> DataFrame:
-    """From cubes of a level to those smaller cubes that may hold the nearest place."""
-    upper, lower = _cell_names(level), _cell_names(level + 1)
-    boxes = sites.groupBy(
-        *[_cell(a, level).alias(c) for a, c in zip(AXES, upper)],
-        *[_cell(a, level + 1).alias(c) for a, c in zip(AXES, lower)],
-    ).agg(
+    """From cubes, or nodes, to those nodes of ``size`` places in them that may hold the nearest place."""
+    within = [F.col(c).alias(f"upper_{c}") for c in above]
+    boxes = sites.groupBy(*CUBE, *within, "part", _node(size).alias("node")).agg(
         *[F.min(a).alias(f"low_{a}") for a in AXES],
         *[F.max(a).alias(f"high_{a}") for a in AXES],
     )
-    pairs = lookup_join(near, boxes, {c: c for c in upper}, "inner", limit=limit)
+    outer = near.withColumnsRenamed({c: f"upper_{c}" for c in above})
+    keys = [*CUBE, *[f"upper_{c}" for c in above]]
+    pairs = lookup_join(outer, boxes, {c: c for c in keys}, "inner", limit=limit)
 
     def nearest_in_box(a):
         return F.least(F.greatest(F.col(a), F.col(f"low_{a}")), F.col(f"high_{a}"))
@@ -144,14 +149,16 @@ def _descend(
         "lat",
         "lon",
         *AXES,
-        *lower,
+        *CUBE,
+        "part",
+        "node",
         squared_chord(F.col, nearest_in_box).alias("at_least"),
         squared_chord(F.col, farthest_in_box).alias("at_most"),
     )
-    # Rounding must not lose the cube that holds the answer.
+    # Rounding must not lose the box that holds the answer.
     reach = F.least(F.min("at_most").over(point), F.lit(chord * chord)) * (1 + 1e-9) + 1e-18
     return (
         bounded.withColumn("reach", reach)
         .where(F.col("at_least") <= F.col("reach"))
-        .select("lat", "lon", *AXES, *lower)
+        .select("lat", "lon", *AXES, *CUBE, "part", "node")
     )

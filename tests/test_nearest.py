@@ -8,6 +8,7 @@ import random
 import pytest
 
 from crosswind.functions.geo import EARTH_RADIUS_KM
+from crosswind.operators import nearest
 from crosswind.operators.nearest import nearest_place
 
 
@@ -35,7 +36,7 @@ def positions():
     return points, places
 
 
-@pytest.mark.parametrize(("crowd", "limit"), [(1000, 1 << 26), (60, 1 << 26), (1000, 0)])
+@pytest.mark.parametrize(("crowd", "limit"), [(1000, 1 << 26), (60, 1 << 26), (4, 1 << 26), (1000, 0), (4, 0)])
 def test_nearest_equals_brute_force(spark, positions, crowd, limit):
     points, places = positions
     p = spark.createDataFrame(points + [(999, None, 1.0)], "id int, latitude double, longitude double")
@@ -60,3 +61,45 @@ def test_equal_places_resolve_to_the_smallest(spark):
     )
     got = nearest_place(p, q, "id", columns=["city"]).collect()
     assert sorted((r.id, r.city, r.distance_km) for r in got) == [(1, "a", 0.0), (2, "a", 0.0)]
+
+
+def jobs_of(spark, name, work):
+    spark.sparkContext.setJobGroup(name, name)
+    try:
+        return work(), len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_crowded_cubes_of_any_depth(spark):
+    """Towns of a kilometre, a metre and a millimetre beside scattered places: exact, and by as many jobs."""
+    rng = random.Random(8)
+    jobs = []
+    for degrees in (1e-2, 1e-5, 1e-8):
+        town = [(i, 40 + rng.random() * degrees, -70 + rng.random() * degrees) for i in range(3000)]
+        wide = [(5000 + i, rng.uniform(39, 41), rng.uniform(-71, -69)) for i in range(150)]
+        points = [(i, 40 + rng.uniform(-1, 2) * degrees, -70 + rng.uniform(-1, 2) * degrees) for i in range(40)]
+        points += [(100 + i, rng.uniform(39, 41), rng.uniform(-71, -69)) for i in range(40)]
+        p = spark.createDataFrame(points, "id int, latitude double, longitude double")
+        q = spark.createDataFrame(town + wide, "city int, latitude double, longitude double")
+        found, n = jobs_of(spark, f"town-{degrees}", lambda: nearest_place(p, q, "id", columns=["city"], radius_km=300, crowd=8).collect())
+        jobs.append(n)
+        got = {r.id: r for r in found}
+        place = {c: (a, b) for c, a, b in town + wide}
+        for i, lat, lon in points:
+            least = min(km(lat, lon, a, b) for a, b in place.values())
+            assert km(lat, lon, *place[got[i].city]) == pytest.approx(least, abs=1e-7)
+    assert len(set(jobs)) == 1
+
+
+def test_places_packed_along_the_curve(spark):
+    """Every leaf holds no more places than it should, however crowded its cube, and sparse cubes are one leaf."""
+    rng = random.Random(9)
+    town = [(i, 40 + rng.random() * 1e-9, -70 + rng.random() * 1e-9) for i in range(5000)]
+    lone = [(5000 + i, -40.0 + i, 100.0) for i in range(20)]
+    sites = nearest._in_cubes(spark.createDataFrame(town + lone, "place int, lat double, lon double"), 0.01)
+    ordered = nearest._in_order(sites, 0.01)
+    leaves = ordered.groupBy(*nearest.CUBE, "part", nearest._node(50).alias("node")).count().collect()
+    assert max(r["count"] for r in leaves) <= 50
+    assert sum(r["count"] for r in leaves) == 5020
+    assert len(leaves) <= 5000 / 50 + 20 + 2 * 8
