@@ -282,6 +282,28 @@ def html_rows_of_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_rows(spark, sf_dir)
 
 
+@checked(
+    """SELECT page_id, CAST(0 AS INTEGER) AS block_no, CAST(row_no AS INTEGER) AS row_no,
+              CAST(page_id AS VARCHAR) AS iata, 'x' AS icao,
+              CASE row_no WHEN 1 THEN 'n' || page_id ELSE 'last' END AS name
+       FROM pages, (SELECT unnest([1, 2]) AS row_no)"""
+)
+def html_deep_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The page numbers in tables inside up to eleven others, and a row behind them."""
+    number = F.col("page_id").cast("string")
+    depth = (F.col("page_id") % 12).cast("int")
+    start, end = F.repeat(F.lit("<table class=inner><tr><td>"), depth), F.repeat(F.lit("</td></tr></table>"), depth)
+
+    def row(*cells):
+        return F.concat(F.lit("<tr>"), *[part for cell in cells for part in (F.lit("<td>"), cell, F.lit("</td>"))], F.lit("</tr>"))
+
+    first = row(F.lit("-"), F.lit("-"), number, F.lit("x"), F.concat(start, F.lit("n"), number, end))
+    last = row(F.lit("-"), F.lit("-"), number, F.lit("x"), F.lit("last"))
+    html = F.concat(
+        F.lit('<p>text<table class="wikitable sortable"><tr><th>a</th></tr>'), first, last, F.lit("</table>")
+    )
+    return html_rows(table(spark, sf_dir, "pages").select("page_id", html.alias("html")))
+
 
 @checked(
     f"""WITH {PAGE_ROWS_SQL}
@@ -982,6 +1004,17 @@ def union_tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unions.scan_tagged(spark, paths, columns=["event_id", "ts", "value"])
 
 
+@checked("""SELECT event_id, value, event_type AS kind, CASE WHEN event_id % 2 = 0 THEN 'even' ELSE 'odd' END AS airport FROM events""")
+def union_tagged_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two datasets in folders by kind, under paths with a blank and with letters beyond ASCII."""
+    folder = scratch_path(spark, "events")
+    paths = {"even": f"{folder}/even numbers", "odd": f"{folder}/ungerade Größe"}
+    events = table(spark, sf_dir, "events").select("event_id", "value", F.col("event_type").alias("kind"))
+    for rest, path in enumerate(paths.values()):
+        files.write_parquet(events.where(F.col("event_id") % 2 == rest), path, partition_by=("kind",))
+    return unions.scan_tagged(spark, paths, columns=["event_id", "value"], folders=("kind",))
+
+
 @checked(
     f""", {FIRST_STATION_SQL}
     SELECT h.time, h.temp, h.prcp, h.rhum, h.wspd, s.airport, h.coco

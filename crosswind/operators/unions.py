@@ -8,6 +8,11 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from crosswind.functions.text import folder_value, unescaped
+from crosswind.session import qualified_path
+
+SCHEME = "^[A-Za-z][A-Za-z0-9+.-]*:/*"
+
 
 def union_files(frames: list[DataFrame]) -> DataFrame:
     """All rows of all frames, columns matched by name, missing ones null."""
@@ -20,26 +25,38 @@ def union_tagged(frames: dict[str, DataFrame], tag: str = "airport") -> DataFram
 
 
 def scan_tagged(
-    spark: SparkSession, paths: dict[str, str], tag: str = "airport", *, columns: list[str] | None = None
+    spark: SparkSession,
+    paths: dict[str, str],
+    tag: str = "airport",
+    *,
+    columns: list[str] | None = None,
+    folders: tuple[str, ...] = (),
 ) -> DataFrame:
     """All rows of several Parquet datasets, each row with the name of its dataset, from one scan.
 
-    The name follows from the file a row is in, by one lookup.
+    Datasets in folders ``name=value`` are read whole if ``folders`` tells these
+    names, which are then columns of text, null in datasets that lack them.
+
+    The name follows from the file a row is in: of the given paths the longest
+    that the file is at or below. One lookup for each depth at which paths end
+    finds it, however many paths there are. A file below none is an error.
     """
-    folders = {tidy_path(path): name for path, name in ((p, n) for n, p in paths.items())}
-    rows = spark.read.parquet(*paths.values())
+    ends = {tidy_path(qualified_path(spark, path)): name for name, path in paths.items()}
+    rows = spark.read.parquet(*paths.values(), recursiveFileLookup=bool(folders))
+    path = F.col("_metadata.file_path")
     chosen = [F.col(f"`{c}`") for c in columns or rows.columns]
-    names = F.create_map(*[F.lit(x) for pair in folders.items() for x in pair])
-    folder = F.regexp_replace(F.col("_metadata.file_path"), "^[A-Za-z][A-Za-z0-9+.-]*:/*", "/")
-    own = F.when(F.element_at(names, folder).isNotNull(), folder).otherwise(
-        F.regexp_replace(folder, "/[^/]*$", "")
-    )
-    return rows.select(*chosen, F.element_at(names, own).alias(tag))
+    chosen += [folder_value(path, name).alias(name) for name in folders]
+    names = F.create_map(*[F.lit(x) for pair in ends.items() for x in pair])
+    file = F.regexp_replace(unescaped(path), SCHEME, "/")
+    depths = sorted({end.count("/") for end in ends}, reverse=True)
+    found = [F.try_element_at(names, F.substring_index(file, "/", depth + 1)) for depth in depths]
+    lost = F.raise_error(F.concat(F.lit("no tag for "), file)).cast("string")
+    return rows.select(*chosen, F.coalesce(*found, lost).alias(tag))
 
 
 def tidy_path(path: str) -> str:
     """A path without its scheme, as it appears behind the scheme of a file's path."""
-    return "/" + re.sub("^[A-Za-z][A-Za-z0-9+.-]*:/*", "/", path).strip("/")
+    return "/" + re.sub(SCHEME, "/", path).strip("/")
 
 
 def distinct_keys(df: DataFrame, column: str) -> DataFrame:

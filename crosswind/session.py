@@ -67,6 +67,12 @@ def file_scheme(spark: SparkSession, path: str) -> str:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).getUri().getScheme()
 
 
+def qualified_path(spark: SparkSession, path: str) -> str:
+    """A path with its file system, as files below it are named."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(target).toString()
+
+
 def children(spark: SparkSession, directory: str) -> list[str]:
     """Paths directly inside a folder, hidden ones left out, in name order."""
     target = spark._jvm.org.apache.hadoop.fs.Path(directory)

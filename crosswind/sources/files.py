@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
-from crosswind.functions.text import unescaped
+from crosswind.functions.text import folder_value
 from crosswind.operators.joins import lookup_join
 from crosswind.schemas import AIRPORTS, CARRIERS, FLIGHTS, RAW_FLIGHTS, WEATHER, WHITELIST
 from crosswind.session import children, file_scheme, scratch_path
@@ -141,7 +141,7 @@ def read_text_columns(
         emptyValue="",
     )
     file = F.col("_metadata.file_path")
-    extra = {name: _folder_value(file, name) for name in folder_names(row["file"] for row in headers)}
+    extra = {name: folder_value(file, name) for name in folder_names(row["file"] for row in headers)}
     if position:
         extra[POSITION] = _place()
     known = {name.lower() for layout in layouts for name in layout}
@@ -192,12 +192,6 @@ def folder_names(files: Iterable[str]) -> list[str]:
     return [name for name in (found[0] if found else []) if all(name in names for names in found)]
 
 
-def _folder_value(file: Column, name: str) -> Column:
-    value = F.regexp_extract(file, f"/{re.escape(name)}=([^/]*)/", 1)
-    # Encoded twice: as the name of a folder, then as part of an address.
-    return F.when(value != "__HIVE_DEFAULT_PARTITION__", unescaped(unescaped(value)))
-
-
 def read_table(
     spark: SparkSession,
     path: str,

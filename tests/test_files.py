@@ -264,6 +264,42 @@ def test_rows_of_ordinary_html(spark, table, row):
     assert out == [("AA", "x", "América – 'x' &lt; &unknown; ©"), ("BB", "x", "B")]
 
 
+@pytest.mark.parametrize("depth", [1, 4, 5, 30])
+def test_tables_inside_tables(spark, depth):
+    """However deep they lie, the rows around and behind them are right."""
+    cell = "<td>-</td><td>-</td><td>{0}</td><td>x</td><td>{1}</td>"
+    deep = "in" + "<TABLE class='wikitable sortable'><tr><td>".join(["-"] * (depth + 1)) + "</td></tr></table >" * depth + "out"
+    rows = "<tr><th>h</tr>" + "".join(f"<tr>{cell.format(*r)}</tr>" for r in (("AA", deep), ("BB", "B")))
+    html = f"</table><table class='wikitable sortable'>{rows}</table><table class=no><tr>{cell.format('NO', 'NO')}</table>"
+    pages = spark.createDataFrame([(1, html * 2), (2, html.replace("</table>", "", depth + 1)), (3, "x"), (4, None)], "page_id long, html string")
+    out = [(r.page_id, r.block_no, r.iata, " ".join(r.name.split())) for r in html_rows(pages).orderBy("page_id", "block_no", "row_no").collect()]
+    text = "in" + " ".join(["-"] * (depth + 1)) + " out"
+    assert [o for o in out if o[0] == 1] == [(1, block, *row) for block in (0, 1) for row in (("AA", text), ("BB", "B"))]
+    # In a page whose tables are not closed, the row before the first end still stands.
+    assert [o[2] for o in out if o[0] == 2][:1] == ["AA"]
+    assert {o[0] for o in out} == {1, 2}
+
+
+def test_tags_by_the_longest_path(spark, tmp_path):
+    """Partitioned folders, blanks, other scripts, and a dataset inside another."""
+    df = spark.createDataFrame([(1, "x y"), (2, "é")], "n int, kind string")
+    paths = {"outer": tmp_path / "data sets", "inner": tmp_path / "data sets" / "kind=inside", "東京": tmp_path / "東 京+%20"}
+    df.write.partitionBy("kind").parquet(str(paths["outer"]))
+    df.select("n").limit(1).write.parquet(str(paths["inner"]))
+    df.write.partitionBy("kind").parquet(str(paths["東京"]))
+    tagged = scan_tagged(spark, {n: str(p) for n, p in paths.items() if n != "inner"}, columns=["n"], folders=("kind",))
+    expected = [(1, "x y", "outer"), (1, "inside", "outer"), (2, "é", "outer"), (1, "x y", "東京"), (2, "é", "東京")]
+    assert sorted(map(tuple, tagged.collect())) == sorted(expected)
+    inner = scan_tagged(spark, {n: f"file://{p}" for n, p in paths.items()}, columns=["n"], folders=("kind",))
+    assert {r.airport: r.n for r in inner.where("kind = 'inside'").collect()} == {"inner": 1}
+
+
+def test_a_file_without_a_tag_is_an_error(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "a" / "b"))
+    with pytest.raises(Exception, match="no tag for"):
+        scan_tagged(spark, {"x": str(tmp_path / "a" / "*")}).collect()
+
+
 def test_headers_of_compressed_files(spark, tmp_path):
     import gzip
 
