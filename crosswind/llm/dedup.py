@@ -6,17 +6,17 @@
    weighted by how often they occur in it and how rare they are, and puts them
    together into bands.
 3. Equal texts are one from here on. Texts that share a band are compared, not
-   each with each: the first of a band with all others, then those whose classes
-   are still apart with further ones, in small bands all of them. What is then
-   still apart in a larger band is compared in full, all of it in cells of
-   bounded size. A pair counts if its weighted Jaccard similarity, over all
+   each with each: the one in the midst of a band with all others, then those
+   whose classes are still apart with further ones, in small bands all of them.
+   What is then still apart in a larger band is compared in full, all of it in
+   cells of bounded size. A pair counts if its weighted Jaccard similarity, over all
    shingles, is at least 0.8; a pair just below it only for its weights, that
    is at 0.8 with every distinct shingle counted once, counts too.
 4. Connected texts form a class.
 
 So the classes are those of all similar pairs that share a band. Copies are
-never expanded into pairs, and no task holds a band's members at once: a band's
-first member is a minimum, taken where the rows are.
+never expanded into pairs. A band's members meet in one task only as rows of
+ids, which a sort-merge join passes on as a stream.
 
 Nulls: a null text is an empty one. Texts that are equal, empty ones too, are in
 one class; a text without words is otherwise alone. Fewer than five words make
@@ -114,7 +114,7 @@ def compared(pairs: DataFrame, table: DataFrame, idf, least: float) -> DataFrame
 
     def similar(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = np.frombuffer(idf.value, "<f4")
-        for batch in stream:
+        for batch in slices(stream):
             ab = [batch.column(i).to_pylist() for i in (2, 3)]
             keep = [max(shingles.jaccards(x, y, weights)) >= least for x, y in zip(*ab)]
             yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(keep, pa.bool_())) for i in (0, 1)], ["a", "b"])
@@ -149,6 +149,21 @@ def connected(edges: DataFrame) -> DataFrame:
         stars = settle(least.select("a", F.col("m").alias("b")).unionAll(moved).where("a != b").distinct(), "stars")
 
 
+def with_heads(bands: DataFrame) -> DataFrame:
+    """Texts that share a band, ``rid, band, n, head``: the band's texts, and the one in the midst of them.
+
+    That is the one whose bands, all together, hold the most texts: in a family of
+    copies, the text most like what they were copied from. Compared with it most
+    of a family is linked at once, where copies of each other's edges would not be.
+    """
+    sizes = bands.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    met = settle(bands.join(sizes, "band"), "bands")
+    weights = met.groupBy("rid").agg(F.sum("n").alias("weight"))
+    central = F.max_by("rid", F.struct("weight", -F.col("rid"))).alias("head")
+    heads = met.join(weights, "rid").groupBy("band").agg(central)
+    return met.join(heads, "band")
+
+
 def further_pairs(shared: DataFrame, roots: DataFrame, tried: DataFrame) -> DataFrame:
     """Pairs within a band whose classes are still apart and that were not compared yet.
 
@@ -242,12 +257,11 @@ def classes(
     bands = settle(
         table.join(heads.select("rid"), "rid", "left_semi").select("rid", F.explode("bands").alias("band")), "bands"
     )
-    firsts = bands.groupBy("band").agg(F.min("rid").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = settle(bands.join(firsts, "band"), "shared-bands")
+    shared = settle(with_heads(bands), "shared-bands")
     # From here on only shingles of texts that share a band travel. One way at any size.
     wanted = shared.select("rid").distinct().hint("merge")
     prints = settle(table.select("rid", "prints").join(wanted, "rid", "left_semi"), "prints")
-    first_pairs = shared.where("rid != head").select(F.col("head").alias("a"), F.col("rid").alias("b"))
+    first_pairs = shared.where("rid != head").select(F.least("head", "rid").alias("a"), F.greatest("head", "rid").alias("b"))
     tried = settle(first_pairs.distinct(), "pairs")
     edges = settle(compared(tried, prints, idf, least), "similar")
     roots = connected(edges)
