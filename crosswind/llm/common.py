@@ -21,6 +21,9 @@ PIECES = 2048
 # What a lookup table may hold before it is no longer broadcast.
 LOOKUP_ROWS = 200_000
 
+# Kinds of columns whose values take different numbers of bytes.
+VARIABLE = (pa.types.is_string, pa.types.is_large_string, pa.types.is_binary, pa.types.is_large_binary)
+
 _shipped: set[str] = set()
 
 
@@ -122,27 +125,27 @@ def numbered(
     )
 
 
-def slices(stream: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
-    """Batches in smaller pieces, so that few texts are held in Python at a time."""
+def byte_slices(
+    stream: Iterator[pa.RecordBatch], limit: int = 8 << 20, rows: int | None = None
+) -> Iterator[pa.RecordBatch]:
+    """Batches in pieces of about ``limit`` bytes of text and at most ``rows`` rows, a longer text by itself."""
     for batch in stream:
-        for start in range(0, batch.num_rows, rows):
-            yield batch.slice(start, rows)
-    # An idle worker should not keep what it no longer needs.
-    pa.default_memory_pool().release_unused()
-
-
-def byte_slices(stream: Iterator[pa.RecordBatch], limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
-    """Batches in pieces of about ``limit`` bytes of text, a longer text by itself."""
-    for batch in stream:
-        texts = [c for c in batch.columns if pa.types.is_string(c.type) or pa.types.is_large_string(c.type)]
-        sizes = sum((np.asarray(pc.binary_length(c).fill_null(0)).astype("i8") for c in texts), np.zeros(batch.num_rows, "i8"))
+        held = [c for c in batch.columns if any(is_kind(c.type) for is_kind in VARIABLE)]
+        sizes = sum((np.asarray(pc.binary_length(c).fill_null(0)).astype("i8") for c in held), np.zeros(batch.num_rows, "i8"))
         ends, start = sizes.cumsum(), 0
         while start < batch.num_rows:
             before = ends[start - 1] if start else 0
             stop = max(start + 1, int(np.searchsorted(ends, before + limit, "right")))
+            stop = min(stop, start + rows) if rows else stop
             yield batch.slice(start, stop - start)
             start = stop
+    # An idle worker should not keep what it no longer needs.
     pa.default_memory_pool().release_unused()
 
 
+def slices(stream: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """Batches in smaller pieces, so that few texts are held in Python at a time, however long they are."""
+    return byte_slices(stream, 4 << 20, rows)
+
+
 __all__ = ["BROADCAST_BYTES", "byte_slices", "lookup", "numbered", "row_key", "ship", "slices", "text_bytes"]
