@@ -2,8 +2,16 @@
 
 from __future__ import annotations
 
+import time
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
+from crosswind.session import children, path_exists
+
+# What the names of folders with the versions of a table begin with.
+VERSION = "version-"
+
 
 def table_from_parquet(
     spark: SparkSession, table: str, path: str, *, location: str | None = None
@@ -27,13 +35,65 @@ def replace_table_as(
     location: str | None = None,
     partition_by: tuple[str, ...] = (),
 ) -> None:
-    """Create or replace a table from a query's rows."""
-    writer = df.write.mode("overwrite").format("parquet")
-    if location:
-        writer = writer.option("path", location)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(table)
+    """Create or replace a table from a query's rows, without a moment at which it holds part of them.
+
+    The rows are written whole to a new folder below ``location``, beside those
+    that the table has; only then the table is pointed to it. A write that dies
+    leaves the old rows, and the query may read the table that it replaces. The
+    folder that the table had stays for readers that have begun with it; older
+    complete ones are deleted. The folder of a write that died is left.
+    """
+    spark = df.sparkSession
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    base = location or f"{warehouse}/{table.split('.')[-1]}-versions"
+    version = f"{base.rstrip('/')}/{VERSION}{time.time_ns():020d}-{uuid.uuid4().hex}"
+    df.write.partitionBy(*partition_by).parquet(version)
+    before = _described(spark, table).get("Location", "") if spark.catalog.tableExists(table) else ""
+    point_table(spark, table, version, partitioned=bool(partition_by))
+    _drop_versions(spark, base, {version.rsplit("/", 1)[-1], before.rstrip("/").rsplit("/", 1)[-1]})
+
+
+def point_table(spark: SparkSession, table: str, path: str, *, partitioned: bool = False) -> None:
+    """Let a table be the Parquet files of a folder, whatever it was before.
+
+    Where the columns stay the same, this is one change of the catalog, so readers
+    find the old rows or the new ones. Where they change, or rows are in folders
+    by value, the name is made anew, and missing for as long as that takes; no rows
+    are moved or deleted by it.
+    """
+    if spark.catalog.tableExists(table):
+        if not partitioned and _same_columns(spark, table, path):
+            escaped = path.replace("\\", "\\\\").replace("'", "\\'")
+            spark.sql(f"ALTER TABLE {table} SET LOCATION '{escaped}'")
+            spark.catalog.refreshTable(table)
+            return
+        spark.sql(f"DROP TABLE {table}")
+    spark.catalog.createTable(table, path=path, source="parquet")
+    if partitioned:
+        spark.catalog.recoverPartitions(table)
+
+
+def _same_columns(spark: SparkSession, table: str, path: str) -> bool:
+    """Whether an unpartitioned table of Parquet files has the columns that a folder's files have."""
+    facts = _described(spark, table)
+    if "# Partition Information" in facts or facts.get("Type") == "VIEW" or facts.get("Provider", "").lower() != "parquet":
+        return False
+    now, then = spark.table(table).schema, spark.read.parquet(path).schema
+    return [(f.name, f.dataType) for f in now] == [(f.name, f.dataType) for f in then]
+
+
+def _described(spark: SparkSession, table: str) -> dict[str, str]:
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
+    return {row["col_name"]: row["data_type"] for row in described}
+
+
+def _drop_versions(spark: SparkSession, base: str, kept: set[str]) -> None:
+    """Delete the complete versions older than the newest of those kept; unfinished ones may still be written."""
+    for path in children(spark, base):
+        name = path.rsplit("/", 1)[-1]
+        if name.startswith(VERSION) and name < max(kept) and name not in kept and path_exists(spark, f"{path}/_SUCCESS"):
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def replace_view(df: DataFrame, view: str) -> None:

@@ -167,6 +167,39 @@ def test_tables_by_name(spark, tmp_path):
     spark.sql("DROP TABLE by_name")
 
 
+def test_a_table_is_replaced_at_once_or_not_at_all(spark, tmp_path, monkeypatch):
+    location = str(tmp_path / "it's here")
+    names = lambda: sorted(p.name for p in Path(location).iterdir())
+    values = lambda df: sorted(tuple(r) for r in df.collect())
+    catalog.replace_table_as(spark.range(3), "swapped", location=location)
+    before = spark.table("swapped")
+    # A reader that has begun, and a query that reads what it replaces.
+    catalog.replace_table_as(spark.table("swapped").selectExpr("id + 10 AS id"), "swapped", location=location)
+    assert values(before) == [(0,), (1,), (2,)]
+    assert values(spark.table("swapped")) == [(10,), (11,), (12,)]
+
+    # Killed between the write and the switch, and in the midst of the write.
+    with monkeypatch.context() as patch:
+        patch.setattr(catalog, "point_table", lambda *a, **k: (_ for _ in ()).throw(KeyboardInterrupt))
+        with pytest.raises(KeyboardInterrupt):
+            catalog.replace_table_as(spark.range(99), "swapped", location=location)
+    with pytest.raises(Exception, match="broken"):
+        rows = spark.range(5).selectExpr("IF(id = 4, raise_error('broken'), id) AS id")
+        catalog.replace_table_as(rows.select(F.col("id").cast("long").alias("id")), "swapped", location=location)
+    assert values(spark.table("swapped")) == [(10,), (11,), (12,)]
+
+    # Other columns, folders by value, and back; old versions go, but for the last.
+    catalog.replace_table_as(spark.range(2).selectExpr("id", "id % 2 AS part"), "swapped", location=location)
+    catalog.replace_table_as(spark.range(4).selectExpr("id", "id % 2 AS part"), "swapped", location=location, partition_by=("part",))
+    assert values(spark.table("swapped").where("part = 1").select("id")) == [(1,), (3,)]
+    catalog.replace_table_as(spark.range(1), "swapped", location=location)
+    catalog.load_by_name(spark.range(7, 8), "swapped")
+    assert values(spark.table("swapped")) == [(0,), (7,)]
+    complete = [n for n in names() if Path(location, n, "_SUCCESS").exists()]
+    assert len(complete) == 2 and complete[-1] == names()[-1]
+    spark.sql("DROP TABLE swapped")
+
+
 def test_views_are_replaced(spark):
     catalog.replace_view(spark.range(3), "v_rows")
     catalog.replace_sql_view(spark, "v_sum", "WITH t AS (SELECT sum(id) AS s FROM v_rows) SELECT s FROM t")
