@@ -6,9 +6,8 @@ import re
 import sys
 from array import array
 
-# Bytes that the kept ids of words may take in a worker, and what a word takes besides its letters and ids.
-KEPT_BYTES = 24 << 20
-ENTRY_BYTES = 220
+# Words whose ids a worker keeps at a time.
+KEPT = 1 << 19
 # Marks that end a word and that the tokenizer splits off.
 MARKS = ".,;:!?"
 # Characters that lower case or composition may change in ways of their own.
@@ -46,7 +45,6 @@ class WordIds(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.letters = byte_letters()
-        self.taken = 0
         if sys.byteorder != "little" or array("I").itemsize != 4:
             raise RuntimeError("ids are kept as little-endian 32-bit numbers")
 
@@ -71,12 +69,10 @@ class WordIds(dict):
             ids = self[stem.lower().encode()] + (self[tail.encode()] if tail else b"")
         else:
             ids = self.merged(text)
+        if len(self) >= KEPT:
+            self.clear()
         if len(word) <= 64:
-            if self.taken > KEPT_BYTES:
-                self.clear()
-                self.taken = 0
             self[word] = ids
-            self.taken += len(word) + len(ids) + ENTRY_BYTES
         return ids
 
     def ids(self, text: bytes, end: int | None = None) -> bytes:
