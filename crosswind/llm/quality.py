@@ -3,11 +3,14 @@
 Each text is measured once: its words, the characters in them, its symbols, its
 lines that repeat an earlier one, its words in passages that repeat. Two fixed
 rules hold everywhere (``base_failed``). The other rules have no fixed cutoff:
-quantile sketches of each measure are built per language and source, merged
-where a source is too small to speak for itself, and a text is rejected when it
-lies far outside of what its own group shows, and for symbols and repeated lines
-of what the lower part of it shows, so that a source full of junk does not set
-its own limit.
+quantile sketches of each measure are built per language and source and merged
+per language and over all. The quantiles of a group are drawn towards those of
+its language, the more the fewer texts it has, and those of a language towards
+those of all, so no number of texts switches from one judge to another. Only the
+length of words, which is a language's own, is never judged by other languages.
+A text is rejected when it lies far outside of what its group shows, and for
+symbols and repeated lines of what the lower part of it shows, so that a source
+full of junk does not set its own limit.
 
 Nulls: a null text has no words, so it fails the fixed rules; null languages and
 sources are groups like others. Rows that repeat are judged alike. A text
@@ -35,14 +38,18 @@ MOST_REPEATED = 20
 
 # Points of a sketch that hold its size and error, whatever the group's size.
 SKETCH_SIZE = 800
-# A group below this number of texts is judged by its language's merged sketch, or by all.
-FEWEST_TEXTS = 300
+# Texts for which the wider sketch stands: with as many of its own, a group's quantiles weigh half.
+BORROWED_TEXTS = 300
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words"]
 MEASURES = StructType([StructField(name, LongType()) for name in COUNTS])
 
 # The least spread that a group is granted in each rate.
 SPREADS = {"symbol_rate": 0.01, "dup_line_rate": 0.05, "word_length": 0.5}
+# Its least share of the median, where that is more: words of scripts without blanks are as long as their phrases.
+RELATIVE_SPREADS = {"word_length": 0.1}
+# Rates that differ between languages for no fault of the text.
+OF_LANGUAGE = ["word_length"]
 # How many spreads above the median, or below it, a text may lie.
 REACH = 8.0
 # Rates that junk only raises. Their limit is also held against the lower part of
@@ -125,6 +132,22 @@ def base_failed() -> Column:
     return (words < FEWEST_WORDS) | (100 * repeated > MOST_REPEATED * words)
 
 
+def quantiles(name: str, q: float) -> tuple[Column, Column]:
+    """A quantile of the language and of the group, each drawn towards the next wider sketch by its count."""
+
+    def drawn(own: str, n: str, wider: Column) -> Column:
+        count = F.coalesce(F.col(n), F.lit(0))
+        value = F.kll_sketch_get_quantile_double(F.when(count > 0, F.col(own)), F.lit(q))
+        mixed = (value * count + wider * BORROWED_TEXTS) / (count + BORROWED_TEXTS)
+        return F.coalesce(mixed, value, wider)
+
+    everywhere = F.lit(None).cast("double")
+    if name not in OF_LANGUAGE:
+        everywhere = F.kll_sketch_get_quantile_double(F.when(F.col("_all_n") > 0, F.col(f"_all_{name}")), F.lit(q))
+    lang = drawn(f"_lang_{name}", "_lang_n", everywhere)
+    return lang, drawn(name, "n", lang)
+
+
 def thresholds(texts: DataFrame) -> DataFrame:
     """Of ``measured`` texts, limits ``(lang, source, n, <rate>_low, <rate>_high)`` of every group.
 
@@ -151,21 +174,20 @@ def thresholds(texts: DataFrame) -> DataFrame:
     groups = sketches.count()
     joined = lookup(sketches, by_lang.withColumnsRenamed(wide), ["lang"], rows=groups)
     joined = joined.join(F.broadcast(overall.withColumnsRenamed(widest)), how="left")
-    enough, lang_enough = F.col("n") >= FEWEST_TEXTS, F.col("_lang_n") >= FEWEST_TEXTS
     limits = []
     for name in judged:
-        sketch = F.when(enough, F.col(name)).when(lang_enough, F.col(f"_lang_{name}")).otherwise(F.col(f"_all_{name}"))
-        low, middle, high = (F.kll_sketch_get_quantile_double(sketch, F.lit(q)) for q in (0.25, 0.5, 0.75))
-        above = middle + REACH * F.greatest(high - middle, F.lit(SPREADS[name]))
+        of_lang, of_group = (lambda q, name=name: quantiles(name, q)[0]), (lambda q, name=name: quantiles(name, q)[1])
+        low, middle, high = map(of_group, (0.25, 0.5, 0.75))
+        spread = F.greatest(F.lit(SPREADS[name]), middle * RELATIVE_SPREADS.get(name, 0.0))
+        above = middle + REACH * F.greatest(high - middle, spread)
         if name in RAISED:
             # The group's lower part or its language's, whichever allows more.
-            lang = F.when(lang_enough, F.col(f"_lang_{name}")).otherwise(F.col(f"_all_{name}"))
             lower = []
-            for each in (sketch, lang):
-                tenth, quarter = (F.kll_sketch_get_quantile_double(each, F.lit(q)) for q in (0.1, 0.25))
-                lower.append(quarter + LOWER_REACH * F.greatest(quarter - tenth, F.lit(SPREADS[name])))
+            for each in (of_group, of_lang):
+                tenth, quarter = each(0.1), each(0.25)
+                lower.append(quarter + LOWER_REACH * F.greatest(quarter - tenth, spread))
             above = F.least(above, F.greatest(*lower))
-        below = middle - REACH * F.greatest(middle - low, F.lit(SPREADS[name]))
+        below = middle - REACH * F.greatest(middle - low, spread)
         limits += [F.round(above, 3).alias(f"{name}_high"), F.round(below, 3).alias(f"{name}_low")]
     return joined.select("lang", "source", "n", *limits)
 

@@ -264,11 +264,6 @@ def test_counts_of_texts(docs, rows):
     assert bag(out) == bag(expected)
 
 
-def quantile_limits(rates: list[float], spread: float) -> tuple[float, float]:
-    low, middle, high = (np.quantile(rates, q, method="inverted_cdf") for q in (0.25, 0.5, 0.75))
-    return middle - quality.REACH * max(middle - low, spread), middle + quality.REACH * max(high - middle, spread)
-
-
 def test_thresholds_follow_the_group(spark):
     rng = random.Random(5)
     word = lambda: "".join(rng.choice("abcdefghij") for _ in range(5))
@@ -298,7 +293,36 @@ def test_junk_does_not_set_its_own_limit(spark, share):
     assert {i for i, k in kept.items() if not k} == junk
 
 
-def test_quality_of_nothing(empty):
+@pytest.mark.parametrize("texts", [1, 50, 350])
+def test_a_language_of_few_texts_is_not_judged_by_the_words_of_others(spark, texts):
+    rng = random.Random(7)
+    english = lambda: " ".join("".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(60))
+    chinese = lambda: " ".join("".join(chr(rng.randrange(0x4E00, 0x5E00)) for _ in range(rng.randrange(8, 30))) for _ in range(40))
+    rows = [(i, chinese(), "zh", "web") for i in range(texts)] + [(1000 + i, english(), "en", "web") for i in range(400)]
+    out = quality.judged(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"))
+    assert out.where("_kept").count() == len(rows)
+
+
+def test_verdicts_of_large_and_small_groups(spark):
+    """Against exact quantiles, with groups that are judged mostly by themselves and others that are not."""
+    from test_pipeline import judged
+
+    rng = random.Random(8)
+    rows = []
+    for lang, source, n, marks, size in (("en", "a", 500, 0.02, 5), ("en", "b", 40, 0.3, 5), ("de", "a", 300, 0.1, 7), ("zz", None, 7, 0.0, 25), (None, "c", 3, 0.9, 4)):
+        for _ in range(n):
+            rate, length = marks * rng.random() * (6 if rng.random() < 0.1 else 1), size + (20 if rng.random() < 0.05 else 0)
+            words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(length)) + "#" * (rng.random() < rate) * 3 for _ in range(40)]
+            rows.append((len(rows), " ".join(words[:20]) + ("\n" + " ".join(words[20:24])) * rng.choice([1, 1, 1, 2, 5]), lang, source))
+    rows += [(len(rows), None, "en", "a"), (len(rows) + 1, "", "qq", "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    kept = {r[0] for r in quality.judged(docs).where("_kept").select("_doc.doc_id").collect()}
+    assert kept == judged(docs.collect()) and 0 < len(kept) < len(rows)
+
+
+def test_quality_of_nothing(empty, spark):
+    wordless = spark.createDataFrame([(1, None, "en", "a"), (2, " ", None, None)], "doc_id long, text string, lang string, source string")
+    assert quality.kept_documents(wordless).collect() == []
     assert quality.kept_documents(empty).collect() == []
 
 

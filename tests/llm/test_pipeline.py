@@ -18,10 +18,24 @@ from crosswind.session import settle  # noqa: E402
 
 
 def judged(docs: list) -> set[int]:
-    """Ids that pass, with exact quantiles; groups here are all small, so languages decide, or all."""
+    """Ids that pass, with exact quantiles of each group, drawn towards its language's and those towards all."""
     measured = {d["doc_id"]: quality.measure((d["text"] or "").encode()) for d in docs}
     rate = lambda m: {"symbol_rate": m[2] / m[1], "dup_line_rate": m[4] / m[3], "word_length": m[1] / m[0]}
-    everywhere = [rate(m) for m in measured.values() if m[0]]
+    rates = {i: rate(m) for i, m in measured.items() if m[0]}
+    groups = defaultdict(list)
+    for d in docs:
+        if d["doc_id"] in rates:
+            for key in ("all", d["lang"], (d["lang"], d["source"])):
+                groups[key].append(rates[d["doc_id"]])
+
+    def quantile(key, name, q):
+        values = [r[name] for r in groups[key]]
+        value, n = float(np.quantile(values, q, method="inverted_cdf")), len(values)
+        wider = "all" if key != "all" and not isinstance(key, tuple) else key[0] if isinstance(key, tuple) else None
+        if wider is None or (wider == "all" and name == "word_length"):
+            return value
+        return (value * n + quantile(wider, name, q) * quality.BORROWED_TEXTS) / (n + quality.BORROWED_TEXTS)
+
     kept = set()
     for d in docs:
         m = measured[d["doc_id"]]
@@ -29,10 +43,16 @@ def judged(docs: list) -> set[int]:
             continue
         inside = True
         for name, spread in quality.SPREADS.items():
-            low, middle, high = (np.quantile([r[name] for r in everywhere], q, method="inverted_cdf") for q in (0.25, 0.5, 0.75))
+            key = d["lang"], d["source"]
+            low, middle, high = (quantile(key, name, q) for q in (0.25, 0.5, 0.75))
+            if name == "word_length":
+                spread = max(spread, 0.1 * middle)
             above = middle + quality.REACH * max(high - middle, spread)
+            if name != "word_length":
+                parts = [(quantile(k, name, 0.1), quantile(k, name, 0.25)) for k in (key, d["lang"])]
+                above = min(above, max(b + quality.LOWER_REACH * max(b - a, spread) for a, b in parts))
             below = middle - quality.REACH * max(middle - low, spread)
-            inside &= bool(round(below, 3) <= rate(m)[name] <= round(above, 3))
+            inside &= bool(round(below, 3) <= rates[d["doc_id"]][name] <= round(above, 3))
         if inside:
             kept.add(d["doc_id"])
     return kept
