@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crosswind.llm.common import numbered, ship, slices, text_bytes
-from crosswind.llm.tokens import default_tokenizer, word_ids
+from crosswind.llm.tokens import default_tokenizer, task_ids
 from crosswind.session import settle
 
 CAPACITY = 4096
@@ -212,19 +212,19 @@ def token_pieces(
     )
 
     def cut(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = word_ids(vocabulary)
-        for batch in slices(stream):
-            out = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1))):
-                ids = words.ids(text, end_id)
-                row = zlib.crc32(text)
-                for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
-                    part = ids[at : at + 4 * capacity]
-                    out.append((doc_id, row, piece, at // 4, len(part) // 4, zlib.crc32(part)))
-            if out:
-                kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
-                arrays = [pa.array(c, k) for c, k in zip(zip(*out), kinds)]
-                yield pa.RecordBatch.from_arrays(arrays, [f.split()[0] for f in PIECES.split(", ")])
+        with task_ids(vocabulary) as words:
+            for batch in slices(stream):
+                out = []
+                for doc_id, text in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1))):
+                    ids = words.ids(text, end_id)
+                    row = zlib.crc32(text)
+                    for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
+                        part = ids[at : at + 4 * capacity]
+                        out.append((doc_id, row, piece, at // 4, len(part) // 4, zlib.crc32(part)))
+                if out:
+                    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+                    arrays = [pa.array(c, k) for c, k in zip(zip(*out), kinds)]
+                    yield pa.RecordBatch.from_arrays(arrays, [f.split()[0] for f in PIECES.split(", ")])
 
     return rows.mapInArrow(cut, PIECES)
 

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from crosswind.llm.common import lookup, ship, slices, text_bytes
-from crosswind.llm.tokens import default_tokenizer, word_ids
+from crosswind.llm.tokens import default_tokenizer, task_ids
 
 HEAD = 12
 TAIL = 4
@@ -101,12 +101,12 @@ def write_records(
     ordered = rows.repartitionByRange(1 + size // file_bytes, *order).sortWithinPartitions(*order)
 
     def encode(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = word_ids(vocabulary)
-        for batch in slices(stream):
-            doc_ids = batch.column(0).to_pylist()
-            texts = text_bytes(batch.column(1))
-            frames = [frame(d, words.ids(t, end_id)) for d, t in zip(doc_ids, texts)]
-            yield pa.RecordBatch.from_arrays([pa.array(frames, pa.binary())], ["value"])
+        with task_ids(vocabulary) as words:
+            for batch in slices(stream):
+                doc_ids = batch.column(0).to_pylist()
+                texts = text_bytes(batch.column(1))
+                frames = [frame(d, words.ids(t, end_id)) for d, t in zip(doc_ids, texts)]
+                yield pa.RecordBatch.from_arrays([pa.array(frames, pa.binary())], ["value"])
 
     # Bytes pass through the text writer as they are.
     framed = ordered.mapInArrow(encode, "value binary")

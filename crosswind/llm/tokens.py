@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import sys
 from array import array
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 # Words whose ids a worker keeps at a time.
 KEPT = 1 << 19
@@ -88,3 +90,13 @@ def word_ids(path: str) -> WordIds:
     if path not in _loaded:
         _loaded[path] = WordIds(path)
     return _loaded[path]
+
+
+@contextmanager
+def task_ids(path: str) -> Iterator[WordIds]:
+    """``word_ids`` for one task: what it kept goes when the task ends, so an idle worker holds none of it."""
+    words = word_ids(path)
+    try:
+        yield words
+    finally:
+        words.clear()
