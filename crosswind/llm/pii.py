@@ -53,6 +53,9 @@ TOP_DOMAINS = [
     "at", "be", "biz", "br", "ca", "ch", "cn", "com", "de", "dk", "edu", "es", "eu", "fi", "fr", "gov", "ie", "in", "info",
     "int", "io", "it", "jp", "mil", "mx", "net", "nl", "no", "org", "pl", "pt", "ru", "se", "uk", "us",
 ]
+# A family name with all of its parts: Smith, McDonald, O'Neil, Smith-Jones.
+NAME_PART = r"(?:\p{Lu}['\u2019])?\p{Lu}\p{Ll}++(?:\p{Lu}\p{Ll}++)*+"
+FAMILY_NAME = rf"{NAME_PART}(?:-{NAME_PART})*+"
 SPEAKS_FOR = {
     "email": "e-?mail|contact|write|reply|kontakt|courriel|correo",
     "ip": r"ip|address|host|login|logged|client",
@@ -72,7 +75,7 @@ PATTERNS = [
     Pattern(
         "email_spelt",
         "email",
-        r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+ ?[\[(] ?(?:at|AT) ?[\])] ?[A-Za-z0-9-]{1,63}(?: ?(?:\.|[\[(] ?(?:dot|DOT) ?[\])]) ?[A-Za-z0-9-]{1,63}){1,8}",
+        r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++ ?[\[(] ?(?:at|AT) ?[\])] ?[A-Za-z0-9-]++(?: ?(?:\.|[\[(] ?(?:dot|DOT) ?[\])]) ?[A-Za-z0-9-]++)++",
         r"[\[(] ?(?:at|AT) ?[\])]",
     ),
     Pattern(
@@ -92,8 +95,8 @@ PATTERNS = [
     Pattern(
         "person",
         "person",
-        rf"(?<!\p{{L}})(?:(?:{'|'.join(TITLES)})\.? )?(?:{'|'.join(GIVEN_NAMES)}) \p{{Lu}}\p{{Ll}}{{1,20}}(?!\p{{L}})"
-        rf"|(?<!\p{{L}})(?:{'|'.join(TITLES)})\.? \p{{Lu}}\p{{Ll}}{{2,20}}(?!\p{{L}})",
+        rf"(?<!\p{{L}})(?:(?:{'|'.join(TITLES)})\.? )?(?:{'|'.join(GIVEN_NAMES)}) {FAMILY_NAME}(?!\p{{L}})"
+        rf"|(?<!\p{{L}})(?:{'|'.join(TITLES)})\.? {FAMILY_NAME}(?!\p{{L}})",
         rf"(?:{'|'.join(GIVEN_NAMES + TITLES)})\.? \p{{Lu}}",
     ),
 ]

@@ -53,14 +53,14 @@ PATTERNS = [
     Pattern(
         "user",
         "identifier",
-        r"""(?<![A-Za-z])(?i:user(?:_?name|_?id)?|login|account(?:_?(?:id|name))?|client_?id|access_?key(?:_?id)?)["']?\x20*[:=]\x20*["']?[A-Za-z0-9@._+-]{2,64}""",
+        r"""(?<![A-Za-z])(?i:user(?:_?name|_?id)?|login|account(?:_?(?:id|name))?|client_?id|access_?key(?:_?id)?)["']?\x20*[:=]\x20*["']?[A-Za-z0-9@._+-]{2,}+""",
         "[:=]",
     ),
     Pattern("key_id", "identifier", "(?<![A-Z0-9])(?:ASIA|AROA|AIDA)[A-Z0-9]{16}+(?![A-Z0-9])", "A[SRI][IOD]A[A-Z0-9]{16}"),
     Pattern(
         "address",
         "endpoint",
-        r"""(?<![A-Za-z])(?:https?|ftp|jdbc:[a-z]{2,12}|postgres(?:ql)?|mysql|mongodb|redis|amqp|s3)://[^\s"'<>]{4,200}|(?<![A-Za-z])(?i:host(?:name)?|endpoint|server)["']?\x20*[:=]\x20*["']?[A-Za-z0-9.-]{3,100}(?::[0-9]{1,5})?""",
+        r"""(?<![A-Za-z])(?:https?|ftp|jdbc:[a-z]{2,}+|postgres(?:ql)?|mysql|mongodb|redis|amqp|s3)://[^\s"'<>]{4,}+|(?<![A-Za-z])(?i:host(?:name)?|endpoint|server)["']?\x20*[:=]\x20*["']?[A-Za-z0-9.-]{3,}+(?::[0-9]++)?""",
         "://|[:=]",
     ),
 ]
