@@ -50,7 +50,7 @@ NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
 
 
 class Block(NamedTuple):
-    """Text of one block: its slot, the article it is in (0: none), characters in links."""
+    """Text of one block: its slot, the article it is in (0: none; below 0: one in an element beside), characters in links."""
 
     slot: int
     article: int
@@ -88,6 +88,14 @@ def role_of(tag: str, raw: str) -> int:
     return 2 if HEADER_NAMES & set(own) else 0
 
 
+@lru_cache(maxsize=50_000)
+def named_beside(raw: str) -> int:
+    """1 if an article's attributes say that it is a comment, an advert or the like, otherwise 0."""
+    if re.search(r"schema\.org/(?:User)?Comment|itemprop\s*=\s*[\"']?comment", raw, re.I):
+        return 1
+    return int(role_of("div", raw) == 1)
+
+
 def parse(text: str) -> tuple[str, list[Block]]:
     """The tree of slots, written out, and the blocks that may be content.
 
@@ -182,11 +190,11 @@ def parse(text: str) -> tuple[str, list[Block]]:
             beside, article = top.beside, top.article
             if tag == "article":
                 if article:
-                    # An article in an article is a reader's comment on it.
-                    beside = beside or 1
+                    # An article in an article is part of it, unless it names itself a comment or the like.
+                    beside = beside or named_beside(raw.strip())
                 elif beside != 1 or any(o.beside == 1 and o.tag in ("nav", "form", "div") for o in stack):
                     articles += 1
-                    article, beside = articles, 0
+                    article, beside = articles if beside != 1 else -articles, 0
             elif role == 1:
                 beside = 1
             elif role == 2 and not beside:
@@ -221,37 +229,43 @@ def matching(tree: str, reference: str) -> dict[int, int]:
     """
     tags, children = children_of(tree)
     other_tags, other_children = children_of(reference)
-    tables: dict[tuple[int, int], tuple[int, list[list[int]]]] = {}
+    tables: dict[tuple[int, int], tuple[int, tuple | None]] = {}
 
     def score(a: int, b: int) -> int:
         if tags[a] != other_tags[b]:
             return 0
         if (a, b) in tables:
             return tables[a, b][0]
-        rows = [[0] * (len(other_children[b]) + 1)]
-        for i, x in enumerate(children[a]):
-            row = [0]
-            for j, y in enumerate(other_children[b]):
-                row.append(max(row[j], rows[i][j + 1], rows[i][j] + score(x, y)))
-            rows.append(row)
-        tables[a, b] = rows[-1][-1] + 1, rows
+        # A slot's children differ in their tags, so each has one counterpart at most, and the best
+        # alignment is the heaviest chain of counterparts in rising order: a tree of prefix maxima finds it.
+        places = {other_tags[y]: (j, y) for j, y in enumerate(other_children[b], 1)}
+        best: list[tuple[int, tuple | None]] = [(0, None)] * (len(other_children[b]) + 1)
+        for x in children[a]:
+            j, y = places.get(tags[x], (0, 0))
+            if not j:
+                continue
+            gain, before, at = score(x, y), (0, None), j - 1
+            while at:
+                before = max(before, best[at], key=lambda chain: chain[0])
+                at &= at - 1
+            chain = before[0] + gain, (x, y, before[1])
+            while j < len(best):
+                if best[j][0] < chain[0]:
+                    best[j] = chain
+                j += j & -j
+        whole, at = (0, None), len(best) - 1
+        while at:
+            whole = max(whole, best[at], key=lambda chain: chain[0])
+            at &= at - 1
+        tables[a, b] = whole[0] + 1, whole[1]
         return tables[a, b][0]
 
     score(0, 0)
     pairs, open_pairs = {0: 0}, [(0, 0)]
     while open_pairs:
-        a, b = open_pairs.pop()
-        rows = tables[a, b][1]
-        i, j = len(children[a]), len(other_children[b])
-        while i and j:
-            x, y = children[a][i - 1], other_children[b][j - 1]
-            gain = score(x, y)
-            if gain and rows[i][j] == rows[i - 1][j - 1] + gain:
-                pairs[x] = y
-                open_pairs.append((x, y))
-                i, j = i - 1, j - 1
-            elif rows[i][j] == rows[i - 1][j]:
-                i -= 1
-            else:
-                j -= 1
+        link = tables[open_pairs.pop()][1]
+        while link:
+            x, y, link = link
+            pairs[x] = y
+            open_pairs.append((x, y))
     return pairs

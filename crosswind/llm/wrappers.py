@@ -5,12 +5,15 @@ adverts, comments and the like, which name themselves, are left out at once. The
 trees of a host are aligned with its most frequent one by simple tree matching,
 so a block's slot means the same on all of its pages. A slot that holds the same
 text on most of a host's different pages is template; one whose text varies is
-content. The smallest element that holds most of the varying text of all pages
-is the host's content slot, and what stands in it on a page is the page's text.
+content. The smallest element that holds all of the varying text of all pages,
+of ``<main>`` where there is one, is the host's content slot, and what stands in
+it on a page is the page's text. Lists that are mostly links are left out, single
+paragraphs that are links are not.
 
 Inside an ``<article>`` nothing is taken for template: a passage that many
-articles of a host share is still part of each. A page that has no slot for the
-host's content is judged by its own varying text.
+articles of a host share is still part of each. Several articles follow one
+another in the text; those that are mostly links are left out. A page that has
+no slot for the host's content is judged by its own varying text.
 
 Nulls: a null page is an empty one and has no text; pages without a host are a
 host of their own. Rows that repeat give the same text each. An empty table
@@ -36,11 +39,14 @@ from crosswind.session import settle
 FEWEST_PAGES = 3
 # and they are at least this share of those that have the slot.
 MOST = 0.5
-# Share of a block's characters that may be links, and of a page's text that a content element holds.
-LINKS, HOLDS = 0.5, 0.8
+# Share of the characters of a block, a list or an article that may be links.
+LINKS = 0.5
 
-# Elements that only hold others.
+# Elements that only hold others, and those whose parts are a list.
 HOLDERS = {"html", "body", "main", "article", "section", "div", "center", "table", "tbody", "tr", "td"}
+LISTS = {"ul", "ol", "menu", "dir", "dl"}
+# Elements whose text is meant to be read, be it a link or not.
+READ = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre", "figcaption", "caption", "address"}
 
 BLOCK = pa.struct([("slot", pa.int32()), ("article", pa.int32()), ("links", pa.int32()), ("text", pa.string())])
 PARSED = "id long, url string, host string, tree string, body string, blocks array<struct<slot int, article int, links int, text string>>"
@@ -142,8 +148,30 @@ def wrappers(blocks: DataFrame) -> DataFrame:
     )
 
 
+def link_lists(tree: str, blocks: list[Block]) -> set[int]:
+    """Numbers of the blocks that are links to other places: lists of links as a whole, and links by themselves.
+
+    A list is a run of blocks within the same outermost list element.
+    """
+    tags, children = children_of(tree)
+    outermost = [0] * len(tags)
+    for slot in range(len(tags)):
+        for child in children[slot]:
+            outermost[child] = outermost[slot] or (child if tags[child] in LISTS else 0)
+    out, i = set(), 0
+    while i < len(blocks):
+        here, j = outermost[blocks[i].slot], i + 1
+        while here and j < len(blocks) and outermost[blocks[j].slot] == here:
+            j += 1
+        links, size = sum(b.links for b in blocks[i:j]), sum(len(b.text) for b in blocks[i:j])
+        if links > LINKS * size and (here or tags[blocks[i].slot] not in READ):
+            out.update(range(i, j))
+        i = j
+    return out
+
+
 def content_slot(tree: str, held: list[int]) -> int:
-    """The smallest holder with most of the text, given the text of each slot; no deeper than an article."""
+    """The smallest holder with all of the text, given the text of each slot; no deeper than an article."""
     tags, children = children_of(tree)
     held = list(held)
     # Children have higher numbers than their parents.
@@ -152,7 +180,7 @@ def content_slot(tree: str, held: list[int]) -> int:
     main = next((s for s, tag in enumerate(tags) if tag == "main" and held[s]), 0)
     while tags[main] != "article":
         inner = next(
-            (c for c in children[main] if held[c] >= HOLDS * held[0] and tags[c] in HOLDERS), None
+            (c for c in children[main] if held[c] == held[main] and tags[c] in HOLDERS), None
         )
         if inner is None or not held[0]:
             break
@@ -186,10 +214,11 @@ def content(row: dict) -> str:
     if not blocks:
         return ""
     names, template = slot_names(row["tree"], row["reference"]), set(row["template"] or [])
+    listed = link_lists(row["tree"], blocks)
     varying = [
         b
-        for b in blocks
-        if b.article or (b.links <= LINKS * len(b.text) and f"{names[b.slot]}:{mark(b.text)}" not in template)
+        for i, b in enumerate(blocks)
+        if b.article or (i not in listed and f"{names[b.slot]}:{mark(b.text)}" not in template)
     ]
     wanted = host_slot(row["reference"], tuple((s["slot"], s["size"]) for s in row["sizes"] or []))
     own = next((slot for slot, name in names.items() if name == wanted), None)
@@ -201,13 +230,16 @@ def content(row: dict) -> str:
             held[b.slot] += len(b.text)
         within = inside(row["tree"], content_slot(row["tree"], held))
         chosen = [b for b in varying if b.slot in within]
-    sizes = Counter()
+    sizes, links = Counter(), Counter()
     for b in chosen:
         sizes[b.article] += len(b.text)
+        links[b.article] += b.links
     articles = [a for a in sizes if a]
     if articles:
-        longest = max(articles, key=lambda a: (sizes[a], -a))
-        chosen = [b for b in chosen if b.article == longest]
+        # Articles inside elements beside the content count only if there are no others.
+        first = [a for a in articles if a > 0] or articles
+        told = [a for a in first if links[a] <= LINKS * sizes[a]] or [max(first, key=lambda a: (sizes[a], -abs(a)))]
+        chosen = [b for b in chosen if b.article in told]
     return " ".join(b.text for b in chosen)
 
 

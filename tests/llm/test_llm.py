@@ -607,6 +607,99 @@ def test_main_text(spark, article):
     assert all(r["n_chars"] == len(r["text"]) for r in out)
 
 
+LAYOUTS = {
+    "title and lead beside the rest": (
+        "<main><h1>Title {i}</h1><p>lead {i}</p><div><p>long text of number {i} that goes on and on for a while</p><p>more of {i}</p></div></main>",
+        "Title {i} lead {i} long text of number {i} that goes on and on for a while more of {i}",
+    ),
+    "title beside the rest, no main": (
+        "<h1>Title {i}</h1><div><p>long text of number {i} that goes on and on for a while</p></div>",
+        "Title {i} long text of number {i} that goes on and on for a while",
+    ),
+    "several articles": (
+        "<article><p>first part {i}</p></article><article><p>second and longer part {i}</p></article>"
+        "<article><a href=x>see number {i} too</a></article><div class=comments><article><p>great, {i}!</p></article></div>",
+        "first part {i} second and longer part {i}",
+    ),
+    "article in article": (
+        "<article><section><article><h1>Title {i}</h1><p>text {i}</p></article></section>"
+        "<article class='user-comment'><p>first, {i}!</p></article><article itemprop=comment><p>second, {i}!</p></article></article>",
+        "Title {i} text {i}",
+    ),
+    "links in the text": (
+        "<div><p>words of number {i} that are long enough</p><p><a href=x>a paragraph that is one link {i}</a></p>"
+        "<ul><li>a point {i} with <a href=y>one link</a></li><li><a href=z>source {i}</a></li><li>a further point of number {i}</li></ul></div>"
+        "<ul><li><a href=p>other {i}</a></li><li><a href=q>next {i}</a></li></ul>",
+        "words of number {i} that are long enough a paragraph that is one link {i} a point {i} with one link source {i} a further point of number {i}",
+    ),
+}
+
+
+def test_main_text_of_many_layouts(spark):
+    """Hosts of one layout each, most without an article, and one host of several."""
+    rows, expected = [], []
+    for n, (body, text) in enumerate(LAYOUTS.values()):
+        for i in range(6):
+            html = f"<body><div class=top><p>Welcome</p></div><nav>menu {i}</nav>{body.format(i=i)}<div class=tail>All rights reserved</div><footer>foot {i}</footer>"
+            rows.append((100 * n + i, f"http://h{n}.org/{i}", html))
+            expected.append((100 * n + i, text.format(i=i)))
+    out = wrappers.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r["id"]: r["text"] for r in out} == dict(expected)
+
+
+def test_trees_of_many_names_align_soon():
+    import random as rnd
+    import time
+
+    tree = lambda names: " ".join(f"0:{n}" for n in names)
+    names = [f"x{i}" for i in range(20_000)]
+    other = names[:]
+    rnd.Random(3).shuffle(other)
+    began = time.monotonic()
+    assert len(dom.matching(tree(names), tree(names))) == 20_001
+    found = dom.matching(tree(names), tree(other))
+    assert time.monotonic() - began < 10
+    ways = sorted(found.items())
+    assert all(a < b for (_, a), (_, b) in zip(ways, ways[1:])) and len(ways) > 200
+
+
+def longest_alignment(tree: str, reference: str) -> int:
+    """The size of the best simple tree matching, by the plain table."""
+    tags, children = dom.children_of(tree)
+    other_tags, others = dom.children_of(reference)
+
+    def score(a, b):
+        if tags[a] != other_tags[b]:
+            return 0
+        rows = [[0] * (len(others[b]) + 1) for _ in range(len(children[a]) + 1)]
+        for i, x in enumerate(children[a], 1):
+            for j, y in enumerate(others[b], 1):
+                rows[i][j] = max(rows[i - 1][j], rows[i][j - 1], rows[i - 1][j - 1] + score(x, y))
+        return rows[-1][-1] + 1
+
+    return score(0, 0)
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_matching_is_as_large_as_by_the_plain_table(seed):
+    rng = random.Random(seed)
+
+    def tree():
+        tags, used = ["#"], [set()]
+        out = []
+        for _ in range(rng.randrange(0, 14)):
+            parent, tag = rng.randrange(len(tags)), rng.choice("abcde")
+            if tag not in used[parent]:
+                used[parent].add(tag)
+                tags.append(tag)
+                used.append(set())
+                out.append(f"{parent}:{tag}")
+        return " ".join(out)
+
+    one, two = tree(), tree()
+    assert len(dom.matching(one, two)) == longest_alignment(one, two)
+
+
 def test_main_text_of_nothing(spark):
     assert wrappers.main_texts(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
 
