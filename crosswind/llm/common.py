@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import zipfile
 from collections.abc import Iterator
@@ -125,6 +126,15 @@ def numbered(
     )
 
 
+def give_back() -> None:
+    """Return freed memory to the system: an idle worker should not keep what it no longer needs."""
+    pa.default_memory_pool().release_unused()
+    # Only glibc has this call; elsewhere freed memory stays with the worker.
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def byte_slices(
     stream: Iterator[pa.RecordBatch], limit: int = 8 << 20, rows: int | None = None
 ) -> Iterator[pa.RecordBatch]:
@@ -139,8 +149,7 @@ def byte_slices(
             stop = min(stop, start + rows) if rows else stop
             yield batch.slice(start, stop - start)
             start = stop
-    # An idle worker should not keep what it no longer needs.
-    pa.default_memory_pool().release_unused()
+    give_back()
 
 
 def slices(stream: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
@@ -148,4 +157,4 @@ def slices(stream: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.Re
     return byte_slices(stream, 4 << 20, rows)
 
 
-__all__ = ["BROADCAST_BYTES", "byte_slices", "lookup", "numbered", "row_key", "ship", "slices", "text_bytes"]
+__all__ = ["BROADCAST_BYTES", "byte_slices", "give_back", "lookup", "numbered", "row_key", "ship", "slices", "text_bytes"]

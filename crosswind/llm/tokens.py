@@ -8,6 +8,8 @@ from array import array
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+from crosswind.llm.common import give_back
+
 # Words whose ids a worker keeps at a time.
 KEPT = 1 << 19
 # Marks that end a word and that the tokenizer splits off.
@@ -100,3 +102,4 @@ def task_ids(path: str) -> Iterator[WordIds]:
         yield words
     finally:
         words.clear()
+        give_back()

@@ -10,13 +10,14 @@ from pathlib import Path
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 import plain  # noqa: E402
 from crosswind.llm import dedup, dom, forest, mixing, packing, pii, quality, queries, records, secrets, sharding, shingles, wrappers  # noqa: E402
 from crosswind.llm.common import numbered  # noqa: E402
-from crosswind.llm.tokens import default_tokenizer, word_ids  # noqa: E402
+from crosswind.llm.tokens import default_tokenizer, task_ids, word_ids  # noqa: E402
 from crosswind.session import scratch_path, settle  # noqa: E402
 
 
@@ -245,6 +246,16 @@ def test_running_sums_do_not_depend_on_pieces(spark):
             sums[r["g"]] += r["v"]
 
 
+def test_ids_of_words_go_when_a_task_ends():
+    with task_ids(default_tokenizer()) as words:
+        assert words.ids(b"some words", 1) and words
+    assert not word_ids(default_tokenizer())
+    with pytest.raises(KeyError), task_ids(default_tokenizer()) as words:
+        words.ids(b"some words", 1)
+        raise KeyError
+    assert not words
+
+
 # 4: quality
 
 
@@ -583,6 +594,23 @@ def test_recall_of_the_forest(spark, monkeypatch):
     assert hits / 400 >= 0.9
 
 
+def test_parts_of_any_length(spark):
+    client, key = "q" * 80, "Ab1Cd2Ef3Gh4Ij5" * 6
+    text = f"client_id={client} and {key} at https://host.example.org/{'p' * 300}?x=1 end"
+    frame = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    spans = [x.split(":") for x in secrets.find(frame).first()["spans"].split(",")]
+    ends = {int(b) for _, _, b in spans}
+    assert {text.index(client) + 80, text.index(key) + 90, text.index(" end")} <= ends
+
+
+def test_names_are_masked_whole(spark):
+    texts = ["Dear Dr. Maria Smith-Jones, thanks", "Signed by Robert O'Neil today", "Contact: Mr. James McDonald please"]
+    names = ["Dr. Maria Smith-Jones", "Robert O'Neil", "Mr. James McDonald"]
+    pattern = next(p for p in pii.PATTERNS if p.name == "person")
+    frame = spark.createDataFrame(list(zip(texts, names)), "text string, name string")
+    assert frame.where(F.regexp_extract("text", F.lit(pattern.regex), 0) != F.col("name")).count() == 0
+
+
 # 2: pages
 
 
