@@ -387,6 +387,20 @@ def load_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name)
 
 
+@checked("SELECT * FROM orders")
+def load_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders delivered in two parts of different column order, each asked for twice and loaded once."""
+    name, location = new_table(spark, "orders_delivered")
+    orders, source = table(spark, sf_dir, "orders"), scratch_path(spark, "deliveries")
+    catalog.loaded_table(orders, name, location)
+    for part, columns in enumerate((orders.columns, orders.columns[::-1])):
+        delivered = orders.where(F.pmod(F.hash("o_orderkey"), 2) == part)
+        delivered.select(*columns).write.parquet(f"{source}/part-{part}")
+        for _ in range(2):
+            catalog.load_files(spark, name, source)
+    return spark.table(name).drop(catalog.LOAD)
+
+
 @checked(f"SELECT *, {calendar_sql('ts')} FROM events")
 def replace_table_as(spark: SparkSession, sf_dir: str) -> DataFrame:
     name, location = new_table(spark, "events_calendar")

@@ -81,14 +81,19 @@ def children(spark: SparkSession, directory: str) -> list[str]:
     return sorted(p for p in paths if p.rsplit("/", 1)[-1][0] not in "._")
 
 
+def listed_files(spark: SparkSession, path: str) -> DataFrame:
+    """The data files at or below a path: ``path, length, modified``; no file is opened."""
+    listed = spark.read.format("binaryFile").load(path, recursiveFileLookup=True)
+    return listed.select("path", "length", F.col("modificationTime").alias("modified"))
+
+
 def files_mark(spark: SparkSession, path: str) -> str:
     """What tells the data files at or below a path from others: number, bytes, and a digest of names, sizes and times.
 
     One aggregate over Spark's listing, whatever the number of files; no file is opened.
     """
-    listed = spark.read.format("binaryFile").load(path, recursiveFileLookup=True)
-    digest = F.xxhash64("path", "length", "modificationTime")
-    row = listed.agg(
+    digest = F.xxhash64("path", "length", "modified")
+    row = listed_files(spark, path).agg(
         F.count(F.lit(1)), F.coalesce(F.sum("length"), F.lit(0)), F.bit_xor(digest), F.sum(digest.cast("decimal(38,0)"))
     ).first()
     return " ".join(map(str, (path, *row)))

@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
+import hashlib
 import time
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from crosswind.session import children, path_exists
+from crosswind.session import children, listed_files, path_exists
 
 # What the names of folders with the versions of a table begin with.
 VERSION = "version-"
+# The column, and partition, that tells which load a row of a table came by.
+LOAD = "load_id"
+# The folder in a table's own, hidden from its readers, that lists the files of each load.
+LEDGER = "_loads"
 
 
 def table_from_parquet(
@@ -28,6 +35,70 @@ def load_by_name(df: DataFrame, table: str) -> None:
     df.sparkSession.sql(f"INSERT INTO {table} BY NAME SELECT * FROM {{rows}}", rows=df)
 
 
+def loaded_table(df: DataFrame, table: str, location: str) -> None:
+    """Create an empty table with the columns of a query, to be filled by ``load_files``.
+
+    ``load_id`` is added as its last column and partition.
+    """
+    if LOAD in (name.lower() for name in df.columns):
+        raise ValueError(f"{LOAD} tells the loads apart and cannot be a column of the rows")
+    empty = df.limit(0).withColumn(LOAD, F.lit(""))
+    empty.write.partitionBy(LOAD).option("path", location).format("parquet").saveAsTable(table)
+
+
+def load_files(
+    spark: SparkSession,
+    table: str,
+    source: str,
+    *,
+    read: Callable[[list[str]], DataFrame] | None = None,
+    force: bool = False,
+) -> int:
+    """Append the rows of files that the table has not loaded yet; the number of these files.
+
+    The files at or below ``source`` are told from others by path, size and time,
+    so one that was written anew is loaded again, beside its old rows. ``force``
+    loads all of them, whether loaded before or not. ``read`` makes rows of
+    paths, Parquet of any columns by default; columns go by name, as in
+    ``load_by_name``.
+
+    All rows of a load are one partition, and the catalog takes it in by one
+    change after they are written: readers see all of them or none. A file counts
+    as loaded only if the catalog has its load, so a load that died, wherever it
+    was, is done again when it is next asked for, over what it left behind. Loads
+    of one table must not run at the same time.
+    """
+    facts = _described(spark, table)
+    if LOAD not in spark.table(table).columns or "# Partition Information" not in facts:
+        raise ValueError(f"{table} was not made by loaded_table")
+    ledger = f"{facts['Location'].rstrip('/')}/{LEDGER}"
+    found = listed_files(spark, source)
+    if not force:
+        found = found.join(loaded_files(spark, table), ["path", "length", "modified"], "left_anti")
+    found = found.orderBy("path").collect()
+    if not found:
+        return 0
+    # The same files make the same load, so a repeated one replaces what a dead one left.
+    load = hashlib.sha256(repr([tuple(row) for row in found]).encode()).hexdigest()
+    load += f"-{uuid.uuid4().hex}" if force else ""
+    listed = spark.createDataFrame(found, "path string, length long, modified timestamp")
+    listed.write.mode("overwrite").parquet(f"{ledger}/{LOAD}={load}")
+    paths = [row["path"] for row in found]
+    rows = read(paths) if read else spark.read.option("mergeSchema", "true").parquet(*paths)
+    spark.sql(f"INSERT OVERWRITE {table} PARTITION ({LOAD} = '{load}') BY NAME SELECT * FROM {{rows}}", rows=rows)
+    return len(found)
+
+
+def loaded_files(spark: SparkSession, table: str) -> DataFrame:
+    """Files that a table of ``loaded_table`` has loaded: ``path, length, modified``, and ``load_id``."""
+    ledger = f"{_described(spark, table)['Location'].rstrip('/')}/{LEDGER}"
+    if not path_exists(spark, ledger):
+        return spark.createDataFrame([], f"path string, length long, modified timestamp, {LOAD} string")
+    noted = spark.read.schema(f"path string, length long, modified timestamp, {LOAD} string").parquet(ledger)
+    taken = spark.sql(f"SHOW PARTITIONS {table}").select(F.substring_index("partition", "=", -1).alias(LOAD))
+    return noted.join(taken, LOAD, "left_semi").select("path", "length", "modified", LOAD)
+
+
 def replace_table_as(
     df: DataFrame,
     table: str,

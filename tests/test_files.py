@@ -436,3 +436,62 @@ def test_folders_name_columns_too(spark, tmp_path):
 def test_no_files_give_no_rows(spark, tmp_path):
     (tmp_path / "empty.csv").write_text("")
     assert readers.read_text_columns(spark, str(tmp_path)).count() == 0
+
+
+def test_files_are_loaded_once(spark, tmp_path, monkeypatch):
+    source, location = tmp_path / "delivered files", str(tmp_path / "loaded table")
+    values = lambda: sorted(tuple(r) for r in spark.table("loads").select("a", "b").collect())
+    load = lambda **how: catalog.load_files(spark, "loads", str(source), **how)
+    spark.createDataFrame([(1, "x")], "a int, b string").write.parquet(str(source / "one"))
+    catalog.loaded_table(spark.read.parquet(str(source / "one")), "loads", location)
+    assert load() >= 1
+    assert load() == 0
+    assert values() == [(1, "x")]
+
+    # Names in another order and case, a column that is missing, and files without rows.
+    spark.createDataFrame([("y", 2)], "B string, A int").coalesce(1).write.parquet(str(source / "two"))
+    spark.createDataFrame([(3,)], "a int").coalesce(1).write.parquet(str(source / "three"))
+    spark.createDataFrame([], "a int, b string").coalesce(1).write.parquet(str(source / "none"))
+    assert load() >= 3
+    assert load() == 0
+    assert values() == [(1, "x"), (2, "y"), (3, None)]
+
+    # Killed before the rows are written, and between the rows and the catalog.
+    spark.createDataFrame([(4, "z")], "a int, b string").coalesce(1).write.parquet(str(source / "four"))
+    with pytest.raises(KeyboardInterrupt):
+        load(read=lambda paths: (_ for _ in ()).throw(KeyboardInterrupt))
+    assert len(values()) == 3
+    assert load() >= 1
+    assert values() == [(1, "x"), (2, "y"), (3, None), (4, "z")]
+    newest = spark.sql("SHOW PARTITIONS loads").join(
+        catalog.loaded_files(spark, "loads").where("path LIKE '%/four/%'").selectExpr("'load_id=' || load_id AS partition").distinct(),
+        "partition",
+    ).first()[0]
+    left = Path(location, newest)
+    kept = sorted((p.name, p.read_bytes()) for p in left.iterdir() if p.suffix == ".parquet")
+    spark.sql(f"ALTER TABLE loads DROP PARTITION (load_id = '{newest.split('=')[1]}')")
+    left.mkdir(exist_ok=True)
+    for name, content in kept:
+        (left / name).write_bytes(content)
+    assert len(values()) == 3
+    assert load() >= 1
+    assert values() == [(1, "x"), (2, "y"), (3, None), (4, "z")]
+
+    # A file written anew is another one; force loads what was loaded before.
+    spark.createDataFrame([(5, "long enough to differ")], "a int, b string").coalesce(1).write.mode("overwrite").parquet(str(source / "four"))
+    assert load() >= 1
+    assert [a for a, _ in values()] == [1, 2, 3, 4, 5]
+    assert load(force=True) >= 4
+    assert [a for a, _ in values()] == [1, 1, 2, 2, 3, 3, 4, 5, 5]
+    assert load() == 0
+
+    # A column that the table lacks is an error, and loads nothing.
+    spark.createDataFrame([(6, 7)], "a int, other int").coalesce(1).write.parquet(str(source / "five"))
+    with pytest.raises(Exception, match="(?i)column"):
+        load()
+    assert len(values()) == 9
+    with pytest.raises(ValueError, match="loaded_table"):
+        spark.range(1).write.mode("overwrite").saveAsTable("plain_rows")
+        catalog.load_files(spark, "plain_rows", str(source))
+    spark.sql("DROP TABLE loads")
+    spark.sql("DROP TABLE plain_rows")
