@@ -8,6 +8,7 @@ from __future__ import annotations
 import argparse
 import json
 import sys
+from functools import partial
 from pathlib import Path
 
 if __name__ == "__main__":
@@ -24,13 +25,14 @@ from crosswind.session import files_mark, session
 from crosswind.sinks.catalog import publish_view, replace_table_as
 from crosswind.sinks.files import (
     load_or_build,
+    load_or_build_parts,
     write_counted,
     write_failure_list,
     write_lines,
     write_parquet,
 )
 from crosswind.operators.lookups import unmatched_airports
-from crosswind.sources.files import POSITION, read_table, scan_carriers, scan_whitelist, scan_years
+from crosswind.sources.files import POSITION, read_table, scan_carriers, scan_paths, scan_whitelist, year_paths
 from crosswind.sources.pages import carriers_from_rows, html_rows
 
 
@@ -53,7 +55,9 @@ def publish(
     """Run the flow and return the number of joined rows.
 
     Results of earlier steps found under ``out`` are read, not built again, if
-    they were made with the same parameters from the same files. Carriers come
+    they were made with the same parameters from the same files. Flights are kept
+    by year, so a year that is added or delivered anew is the only one that is
+    enriched. Carriers come
     from a file, or else from the tables in ``pages``, Parquet with ``page_id``
     and ``html``. ``files`` sets the number of files of the joined rows.
 
@@ -70,7 +74,10 @@ def publish(
         return json.dumps([marks, parameters], sort_keys=True)
 
     made_airports = recipe(airports, whitelist, places)
-    made_flights = recipe(flights, carriers or pages, start_year=start_year, airports=made_airports)
+    years = year_paths(spark, flights, start_year)
+    made_flights = {
+        year: recipe(*paths, carriers or pages, airports=made_airports) for year, paths in years.items()
+    }
     made_weather = recipe(stations, hourly, flights=made_flights)
 
     def build_airports() -> DataFrame:
@@ -80,14 +87,15 @@ def publish(
 
     ports = load_or_build(spark, f"{out}/airports", build_airports, recipe=made_airports)
 
-    def build_flights() -> DataFrame:
-        raw = scan_years(spark, flights, start_year)
+    def build_flights(year: int) -> DataFrame:
+        raw = scan_paths(spark, years[year])
         if carriers:
             return enrich_flights(raw, listed, scan_carriers(spark, carriers), ports, carrier_order=[POSITION])
         names = carriers_from_rows(html_rows(spark.read.parquet(pages)))
         return enrich_flights(raw, listed, names, ports)
 
-    flown = load_or_build(spark, f"{out}/flights", build_flights, recipe=made_flights)
+    by_year = {str(year): (made, partial(build_flights, year)) for year, made in made_flights.items()}
+    flown = load_or_build_parts(spark, f"{out}/flights", by_year, name="year")
     write_lines(flown, "ORIGIN", f"{out}/airport_ids")
 
     def build_weather() -> DataFrame:

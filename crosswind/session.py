@@ -81,6 +81,12 @@ def children(spark: SparkSession, directory: str) -> list[str]:
     return sorted(p for p in paths if p.rsplit("/", 1)[-1][0] not in "._")
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file, or a folder with all that is in it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def listed_files(spark: SparkSession, path: str) -> DataFrame:
     """The data files at or below a path: ``path, length, modified``; no file is opened."""
     listed = spark.read.format("binaryFile").load(path, recursiveFileLookup=True)

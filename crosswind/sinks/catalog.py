@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crosswind.session import children, listed_files, path_exists
+from crosswind.session import children, delete_path, listed_files, path_exists
 
 # What the names of folders with the versions of a table begin with.
 VERSION = "version-"
@@ -163,8 +163,7 @@ def _drop_versions(spark: SparkSession, base: str, kept: set[str]) -> None:
     for path in children(spark, base):
         name = path.rsplit("/", 1)[-1]
         if name.startswith(VERSION) and name < max(kept) and name not in kept and path_exists(spark, f"{path}/_SUCCESS"):
-            target = spark._jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+            delete_path(spark, path)
 
 
 def replace_view(df: DataFrame, view: str) -> None:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from crosswind.session import path_exists, read_note, write_note
+from crosswind.session import children, delete_path, path_exists, read_note, write_note
 
 
 def write_csv(
@@ -107,3 +107,30 @@ def load_or_build(
         write_parquet(build(), path)
         write_note(spark, note, recipe)
     return spark.read.parquet(path)
+
+
+def load_or_build_parts(
+    spark: SparkSession,
+    path: str,
+    parts: dict[str, tuple[str, Callable[[], DataFrame]]],
+    *,
+    name: str = "part",
+) -> DataFrame:
+    """The rows of all parts, each a folder ``name=part`` that is built only if it is not there.
+
+    ``parts`` has a recipe and a way to build for each. A part is kept as
+    ``load_or_build`` keeps a dataset, so one that is new or made of something
+    else is written, and the others are left as they are. Whatever else is at the
+    path is deleted, as an overwrite would do. Parts are built one after the
+    other, so they should be few and large, such as years; all must have the
+    same columns, and ``name`` is not one of them.
+    """
+    if not parts:
+        raise ValueError("there must be a part to say what the columns are")
+    folders = {f"{name}={part}": how for part, how in parts.items()}
+    for folder, (recipe, build) in folders.items():
+        load_or_build(spark, f"{path}/{folder}", build, recipe=recipe)
+    for found in children(spark, path):
+        if found.rstrip("/").rsplit("/", 1)[-1] not in folders:
+            delete_path(spark, found)
+    return spark.read.parquet(*[f"{path}/{folder}" for folder in folders])

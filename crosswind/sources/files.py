@@ -250,13 +250,15 @@ def scan_airports(spark: SparkSession, path: str) -> DataFrame:
     return read_table(spark, path, AIRPORTS, multiline=True)
 
 
-def year_paths(spark: SparkSession, directory: str, start_year: int) -> list[str]:
-    """Files or folders named ``<year>.<anything>`` or ``year=<year>`` from a year on."""
-    kept = []
+def year_paths(spark: SparkSession, directory: str, start_year: int) -> dict[int, list[str]]:
+    """Files or folders named ``<year>.<anything>`` or ``year=<year>``, by year, from a year on."""
+    kept = {}
     for path in children(spark, directory):
         stem = path.rstrip("/").rsplit("/", 1)[-1].split(".")[0].removeprefix("year=")
         if stem.isdecimal() and int(stem) >= start_year:
-            kept.append(path)
+            kept.setdefault(int(stem), []).append(path)
+    if not kept:
+        raise ValueError(f"no file from {start_year} on in {directory}")
     return kept
 
 
@@ -271,8 +273,11 @@ def scan_years(
     Earlier files are never opened. Each file is read under its own header, so
     column order may differ by year; a column a year lacks is null there.
     """
-    paths = year_paths(spark, directory, start_year)
-    if not paths:
-        raise ValueError(f"no file from {start_year} on in {directory}")
+    years = year_paths(spark, directory, start_year)
+    return scan_paths(spark, [path for paths in years.values() for path in paths], schema)
+
+
+def scan_paths(spark: SparkSession, paths: list[str], schema: StructType = RAW_FLIGHTS) -> DataFrame:
+    """Rows of CSV files and folders, each file under its own header."""
     raw = read_text_columns(spark, paths)
     return raw.select([typed(f.name, f.dataType) for f in schema.fields])

@@ -87,6 +87,41 @@ def test_other_parameters_give_other_results(spark, inputs, tmp_path):
     assert {r.ORIGIN for r in rows} == {"JFK"} and min(r.FL_DATE.year for r in rows) == 2017
 
 
+def test_a_year_that_is_added_is_the_only_one_written(spark, inputs, tmp_path):
+    years, out = tmp_path / "years", tmp_path / "out"
+    years.mkdir()
+    (years / "2018.csv").write_text((inputs / "years/2018.csv").read_text())
+    given = arguments(inputs, out) | {"flights": str(years)}
+    written = lambda: {
+        str(p.relative_to(out)): p.stat().st_mtime_ns for p in (out / "flights").rglob("part-*")
+    }
+    rows = lambda: sorted(map(str, spark.table("flights_with_weather").collect()))
+    assert publish(spark, **given) == 3
+    first = written()
+    assert all(name.startswith("flights/year=2018/") for name in first)
+
+    # Another order of columns, as years may have.
+    moved = FLIGHT_HEADER.split(",")[::-1]
+    line = "2019-01-05,AA,9,JFK,ORD,900,905,5,1100,1101,1,0,0,120".split(",")[::-1]
+    (years / "2019.csv").write_text(f"{','.join(moved)}\n{','.join(line)}\n")
+    assert publish(spark, **given) == 4
+    second = written()
+    assert first.items() <= second.items()
+    assert {name.split("/")[1] for name in second.keys() - first.keys()} == {"year=2019"}
+    grown = rows()
+    assert publish(spark, **(given | {"out": str(tmp_path / "fresh")})) == 4
+    assert rows() == grown
+
+    # A year delivered anew, and one that is no longer wanted.
+    (years / "2018.csv").write_text((inputs / "years/2017.csv").read_text())
+    assert publish(spark, **given) == 2
+    third = written()
+    assert {name: time for name, time in third.items() if "2019" in name}.items() <= second.items()
+    assert not third.keys() & first.keys()
+    assert publish(spark, **given, start_year=2019) == 1
+    assert {name.split("/")[1] for name in written()} == {"year=2019"}
+
+
 def test_measures_can_be_read_by_another_program(spark, inputs, tmp_path):
     publish(spark, **arguments(inputs, tmp_path), files=1)
     script = (
