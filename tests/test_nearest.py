@@ -10,6 +10,7 @@ import pytest
 from crosswind.functions.geo import EARTH_RADIUS_KM
 from crosswind.operators import nearest
 from crosswind.operators.nearest import nearest_place
+from crosswind.session import settle
 
 
 def km(a, b, c, d):
@@ -103,3 +104,33 @@ def test_places_packed_along_the_curve(spark):
     assert max(r["count"] for r in leaves) <= 50
     assert sum(r["count"] for r in leaves) == 5020
     assert len(leaves) <= 5000 / 50 + 20 + 2 * 8
+
+
+def test_rows_grow_with_the_points_alone(spark, monkeypatch):
+    """However dense the places, a point goes on with few nodes, and its pairs with places are never rows."""
+    rng = random.Random(10)
+    points = [(i, rng.uniform(38, 42), rng.uniform(-72, -68)) for i in range(400)]
+    p = spark.createDataFrame(points, "id int, latitude double, longitude double")
+    kept = []
+    monkeypatch.setattr(nearest, "settle", lambda df, name: kept.append((name, settle(df, name))) or kept[-1][1])
+    rows = []
+    for n in (1500, 6000):
+        q = spark.createDataFrame([(i, rng.uniform(38, 42), rng.uniform(-72, -68)) for i in range(n)], "city int, latitude double, longitude double")
+        kept.clear()
+        assert nearest_place(p, q, "id", columns=["city"], radius_km=50, limit=0).where("city IS NOT NULL").count() == 400
+        rows.append([df.count() for name, df in kept if name == "near"])
+        # A leaf is one row, which holds its places.
+        leaves = next(df for name, df in kept if name == "leaves")
+        assert leaves.count() < n / 4
+        assert leaves.selectExpr("sum(size(held))").first()[0] == n
+    assert max(map(max, rows)) <= 3 * 400
+
+
+def test_equal_gaps_across_leaves_and_cubes(spark):
+    """Places equally far on all sides of a point, in different cubes: the smallest counts, however they are packed."""
+    sides = [("d", 0.0, 0.5), ("c", 0.0, -0.5), ("b", 0.0, 0.5), ("a", 0.0, -0.5)]
+    q = spark.createDataFrame(sides, "city string, latitude double, longitude double")
+    p = spark.createDataFrame([(1, 0.0, 0.0), (2, 0.0, 0.5), (3, 0.0, 9.0)], "id int, latitude double, longitude double")
+    for crowd in (1, 200):
+        got = nearest_place(p, q, "id", columns=["city"], radius_km=60, crowd=crowd).collect()
+        assert sorted((r.id, r.city) for r in got) == [(1, "a"), (2, "b"), (3, None)]
