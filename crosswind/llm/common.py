@@ -13,6 +13,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from crosswind.operators.joins import BROADCAST_BYTES
 
@@ -44,6 +46,13 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+def small_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A table of a few rows from the driver, by Arrow: rows sent as Python objects would need workers to unpack them."""
+    kinds = to_arrow_schema(StructType.fromDDL(schema))
+    columns = list(zip(*rows)) or [()] * len(kinds)
+    return spark.createDataFrame(pa.table([pa.array(c, f.type) for c, f in zip(columns, kinds)], schema=kinds))
+
+
 def text_bytes(column: pa.Array) -> list[bytes]:
     """Texts of an Arrow column as UTF-8, null as empty."""
     kind = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()
@@ -157,4 +166,4 @@ def slices(stream: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.Re
     return byte_slices(stream, 4 << 20, rows)
 
 
-__all__ = ["BROADCAST_BYTES", "byte_slices", "give_back", "lookup", "numbered", "row_key", "ship", "slices", "text_bytes"]
+__all__ = ["BROADCAST_BYTES", "byte_slices", "give_back", "lookup", "numbered", "row_key", "ship", "slices", "small_table", "text_bytes"]

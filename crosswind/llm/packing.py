@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crosswind.llm.common import numbered, ship, slices, text_bytes
+from crosswind.llm.common import numbered, ship, slices, small_table, text_bytes
 from crosswind.llm.tokens import default_tokenizer, task_ids
 from crosswind.session import settle
 
@@ -245,8 +245,8 @@ def pack_pieces(
     for run in pack(histogram, capacity, groups=groups):
         by_length[run.length].append(run)
     rows = [run for runs in by_length.values() for run in runs]
-    plan = spark.createDataFrame(
-        rows or [], "_length long, _from long, _count long, _first long, _each long, _offset long"
+    plan = small_table(
+        spark, rows, "_length long, _from long, _count long, _first long, _each long, _offset long"
     )
     ranked = numbered(pieces, ["length"], ["doc_id", "row", "piece", "ids_crc32"])
     step = F.col("_before") - F.col("_from")

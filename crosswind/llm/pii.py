@@ -23,7 +23,7 @@ from collections import defaultdict
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from crosswind.llm.common import lookup, row_key
+from crosswind.llm.common import lookup, row_key, small_table
 from crosswind.llm.spans import ROW, Pattern, matched, not_overlapping, placed, report
 from crosswind.operators.joins import fits_broadcast
 from crosswind.session import settle
@@ -247,7 +247,8 @@ def classified(spans: DataFrame) -> DataFrame:
     spark = spans.sparkSession
     voted = spans.groupBy("kind", *LABELERS).agg(F.count(F.lit(1)).alias("n")).collect()
     likely = reliabilities([(r["kind"], tuple(r[name] for name in LABELERS), r["n"]) for r in voted])
-    table = spark.createDataFrame(
+    table = small_table(
+        spark,
         [(kind, *votes, p) for (kind, votes), p in likely.items()],
         ", ".join(["kind string", *[f"{name} int" for name in LABELERS], "likely double"]),
     )
@@ -275,11 +276,11 @@ def classified(spans: DataFrame) -> DataFrame:
     score = F.lit(0.0)
     for feature in FEATURES:
         rows = [(k, v, odds) for k, f, v, odds in weights if f == feature]
-        part = spark.createDataFrame(rows, f"kind string, {feature} string, _w_{feature} double")
+        part = small_table(spark, rows, f"kind string, {feature} string, _w_{feature} double")
         known = lookup(known, part, ["kind", feature], rows=len(rows))
         score = score + F.coalesce(f"_w_{feature}", F.lit(0.0))
     prior = [(k, math.log(yes / no)) for k, (yes, no) in whole.items()]
-    known = lookup(known, spark.createDataFrame(prior, "kind string, _prior double"), ["kind"], rows=len(prior))
+    known = lookup(known, small_table(spark, prior, "kind string, _prior double"), ["kind"], rows=len(prior))
     return known.withColumn("score", 1 / (1 + F.exp(-(F.col("_prior") + score)))).drop(
         "_prior", *[f"_w_{f}" for f in FEATURES]
     )

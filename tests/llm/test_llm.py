@@ -16,7 +16,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 import plain  # noqa: E402
 from crosswind.llm import dedup, dom, forest, mixing, packing, pii, quality, queries, records, secrets, sharding, shingles, wrappers  # noqa: E402
-from crosswind.llm.common import numbered  # noqa: E402
+from crosswind.llm.common import numbered, small_table  # noqa: E402
 from crosswind.llm.tokens import default_tokenizer, task_ids, word_ids  # noqa: E402
 from crosswind.session import scratch_path, settle  # noqa: E402
 
@@ -246,6 +246,24 @@ def test_running_sums_do_not_depend_on_pieces(spark):
             sums[r["g"]] += r["v"]
 
 
+def test_small_tables_need_no_workers(spark):
+    rows = [("a", 1, 0.5, None), ("b", None, -1.0, 1 << 40)]
+    schema = "kind string, votes int, score double, n long"
+    for some in (rows, []):
+        table = small_table(spark, some, schema)
+        assert table.schema == spark.createDataFrame([], schema).schema
+        assert sorted(map(tuple, table.collect())) == some
+        assert "ExistingRDD" not in table._jdf.queryExecution().executedPlan().toString()
+
+
+def test_texts_are_measured_once_a_scan(spark):
+    texts = [(i, f"some {i} words that pass all of the rules, be they fixed or not", "en", "web") for i in range(20)]
+    docs = spark.createDataFrame([*texts, (20, "too short", "en", "web")], "doc_id long, text string, lang string, source string")
+    kept = quality.kept_documents(docs)
+    assert kept._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    assert sorted(r["doc_id"] for r in kept.collect()) == list(range(20))
+
+
 def test_ids_of_words_go_when_a_task_ends():
     with task_ids(default_tokenizer()) as words:
         assert words.ids(b"some words", 1) and words
